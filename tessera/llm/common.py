@@ -142,3 +142,8 @@ def blocks(items: Iterable, weight, limit: int) -> Iterable[list]:
         total += w
     if held:
         yield held
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out once a row, however often and in whatever lambda the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, ascii_lower, cut, sized
+from .common import Scratch, ascii_lower, cut, let, sized
 
 
 @dataclass(frozen=True)
@@ -68,8 +68,8 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, params: DecontamParams = De
         # at most one entry a word and width of a text
         maybe = scratch.save(found.groupBy("key").agg(F.collect_set(F.struct("start", "width")).alias("places")), "places")
         again = docs.select(F.col("text").cast("string").alias("text")).where("text is not null").withColumn("key", _text_key(F.col("text"))).join(sized(maybe), "key").dropDuplicates(["key"])
-        again = again.withColumn("w", words(F.col("text")))
-        place = F.transform("places", lambda p: F.struct(p["start"].alias("start"), p["width"].alias("width"), F.array_join(F.slice(F.col("w"), p["start"] + 1, p["width"]), " ").alias("window")))
+        window = lambda w: F.transform("places", lambda p: F.struct(p["start"].alias("start"), p["width"].alias("width"), F.array_join(F.slice(w, p["start"] + 1, p["width"]), " ").alias("window")))
+        place = let(words(F.col("text")), window)
         hits = again.select("key", F.explode(place).alias("p")).select("key", "p.*").join(sized(known.select("window", "width", "item_id")), ["window", "width"])
         per = hits.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", "width"))).alias("spans"), F.array_sort(F.collect_set("item_id")).alias("items"))
         zero = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, linededup, minhash, packing
+from . import decontam, langid, linededup, minhash, packing, quality, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,16 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strata are languages."""
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.shard(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "shard", "depth", "shard_docs", "shard_bytes", "oversized")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hosts are the documents' sources. Returns the cleaned text's digest and how many lines went."""
     out = linededup.drop_boilerplate(table(spark, sf_dir, "documents"))
@@ -34,4 +44,4 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op5_line_dedup, op6_benchmark_decontamination, op8_best_fit_packing, op9_language_id)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_quality_rules, op4_sharding, op5_line_dedup, op6_benchmark_decontamination, op8_best_fit_packing, op9_language_id)}

@@ -5,6 +5,42 @@ from __future__ import annotations
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"list_filter(string_split_regex({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
+OP3 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(t, '[ \t-\r]+'), lambda x: x <> '') AS w,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \t-\r]')) AS l FROM d),
+win AS (SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT rid, w, unnest(generate_series(1, len(w) - 2)) AS i FROM w WHERE len(w) >= 3)),
+rep AS (SELECT rid, count(*) AS n FROM (SELECT DISTINCT rid, unnest([i, i + 1, i + 2]) AS p FROM (SELECT *, count(*) OVER (PARTITION BY rid, g) AS c FROM win) WHERE c > 1) GROUP BY rid),
+m AS (SELECT w.rid, doc_id, stratum, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[ \t-\r]', '', 'g'))::BIGINT AS word_chars,
+             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+             coalesce(rep.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN rep ON w.rid = rep.rid),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+v AS (SELECT rid, doc_id, stratum, base_failed, unnest([
+        {'rule': 'symbols', 'v': 1000 * n_symbols // n_words}, {'rule': 'dup_lines', 'v': 1000 * n_dup_lines // greatest(n_lines, 1)},
+        {'rule': 'repeats', 'v': 1000 * n_repeat_words // n_words}, {'rule': 'long_words', 'v': 100 * word_chars // n_words},
+        {'rule': 'short_words', 'v': 1000 * n_words // greatest(word_chars, 1)}], recursive := true) FROM b WHERE NOT base_failed),
+good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
+grid AS (SELECT unnest([5, 10, 20, 30, 50, 75, 100, 150, 200, 250, 300, 400, 500, 600, 700, 800, 900, 1000, 1500, 2000, 3000]) AS cutoff),
+k AS (SELECT stratum, rule, cutoff, count(*) AS n, count(*) FILTER (v > cutoff) AS k FROM v JOIN good USING (doc_id), grid GROUP BY stratum, rule, cutoff),
+p AS (SELECT *, CASE WHEN k >= n * 0.002 THEN 1.0 ELSE list_sum(list_transform(generate_series(0, k), lambda j:
+        exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(0.002) + (n - j) * ln(0.998)))) END AS p_value FROM k),
+lim AS (SELECT 0.05 / greatest(1, count(*)) AS level FROM (SELECT DISTINCT stratum, rule FROM k)),
+cut AS (SELECT stratum, rule, min(cutoff) FILTER (cutoff > coalesce(failed, -1)) AS cutoff FROM (
+          SELECT p.*, max(CASE WHEN p_value > level THEN cutoff END) OVER (PARTITION BY stratum, rule) AS failed FROM p, lim) GROUP BY stratum, rule),
+bad AS (SELECT DISTINCT rid FROM v JOIN cut USING (stratum, rule) WHERE v > cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.rid IS NULL AS kept FROM b LEFT JOIN bad ON b.rid = bad.rid
+"""
+
+OP4 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
+                  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents),
+t AS (SELECT rid, doc_id, n_bytes, h, unnest(generate_series(0, 60)) AS depth FROM d),
+s AS (SELECT *, h >> (60 - depth) AS bucket, sum(n_bytes) OVER w AS shard_bytes, count(*) OVER w AS shard_docs, min(h) OVER w = max(h) OVER w AS one
+      FROM t WINDOW w AS (PARTITION BY depth, h >> (60 - depth)))
+SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(bucket), depth::INT, '0') END AS shard, depth::INT AS depth, shard_docs, shard_bytes::BIGINT AS shard_bytes, shard_bytes > 1048576 AS oversized
+FROM s WHERE one OR shard_bytes <= 1048576 QUALIFY row_number() OVER (PARTITION BY rid ORDER BY depth) = 1
+"""
+
 OP5 = r"""
 WITH d AS (SELECT doc_id, coalesce(source, '') AS host, string_split(text, chr(10)) AS lines, row_number() OVER () AS rid FROM documents),
 l AS (SELECT rid, host, pos, lines[pos] AS line, regexp_replace(lines[pos], '^[ \t-\r]+|[ \t-\r]+$', '', 'g') AS k
@@ -34,4 +70,4 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN cov ON d.rid = cov.rid LEFT JOIN its ON d.rid = its.rid
 """
 
-SQL = {"op5_line_dedup": OP5, "op6_benchmark_decontamination": OP6}
+SQL = {"op3_quality_rules": OP3, "op4_sharding": OP4, "op5_line_dedup": OP5, "op6_benchmark_decontamination": OP6}
