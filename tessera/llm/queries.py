@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, linededup, minhash, packing, quality, sharding
+from . import decontam, langid, linededup, minhash, packing, quality, sharding, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -44,4 +48,4 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_quality_rules, op4_sharding, op5_line_dedup, op6_benchmark_decontamination, op8_best_fit_packing, op9_language_id)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_quality_rules, op4_sharding, op5_line_dedup, op6_benchmark_decontamination, op7_warc, op8_best_fit_packing, op9_language_id)}

@@ -70,4 +70,11 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN cov ON d.rid = cov.rid LEFT JOIN its ON d.rid = its.rid
 """
 
-SQL = {"op3_quality_rules": OP3, "op4_sharding": OP4, "op5_line_dedup": OP5, "op6_benchmark_decontamination": OP6}
+OP7 = """
+WITH p AS (SELECT page_id, coalesce(strlen(html), 0)::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to FROM r
+"""
+
+SQL = {"op3_quality_rules": OP3, "op4_sharding": OP4, "op5_line_dedup": OP5, "op6_benchmark_decontamination": OP6, "op7_warc": OP7}
