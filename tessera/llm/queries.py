@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, linededup, minhash, packing, quality, sharding, suffix, warc
+from . import decontam, langid, linededup, lm, minhash, packing, quality, sharding, suffix, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strata are languages."""
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -52,4 +56,4 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.removals(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_quality_rules, op4_sharding, op5_line_dedup, op6_benchmark_decontamination, op7_warc, op8_best_fit_packing, op9_language_id, op10_suffix_array_dedup)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_lm_scoring, op3_quality_rules, op4_sharding, op5_line_dedup, op6_benchmark_decontamination, op7_warc, op8_best_fit_packing, op9_language_id, op10_suffix_array_dedup)}
