@@ -91,7 +91,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHasher(dict):
     """64-bit hashes of byte strings, remembered for at most ``limit`` of them."""
 
-    def __init__(self, limit: int = 600_000):
+    def __init__(self, limit: int = 250_000):
         self.limit = limit
 
     def __missing__(self, word: bytes) -> int:

@@ -1,4 +1,10 @@
-"""Near-duplicate detection: banded MinHash, sequential Bayesian pruning of candidates, exact verification."""
+"""Near-duplicate detection: banded MinHash, sequential Bayesian pruning of candidates, exact verification.
+
+Documents that share a band are candidates. Within a bucket, batches of signatures are compared and pairs go as soon as
+the posterior probability that they reach the threshold is under ``miss``; what stays links documents to clusters. Every
+plausible pair lies within one cluster, so the full sets of a cluster's documents meet once, whatever number of bands
+they share, and only links that join two parts of a component leave a task. Neither step writes out the pairs of a group.
+"""
 
 from __future__ import annotations
 
@@ -18,16 +24,17 @@ from .components import connected_components
 class MinHashParams:
     """``bands`` x ``rows`` hashes: a pair at the threshold shares no band with probability (1 - t**rows) ** bands,
     3e-6 at the defaults. ``batch`` hashes are compared at a time; after each batch a pair goes if the posterior
-    probability that it reaches the threshold is under ``miss``. What is left is verified on full sets."""
+    probability that it reaches the threshold is under ``miss``. What is left is verified on full sets. A larger bucket or
+    cluster is dealt to tasks in pairs of blocks."""
 
     shingle: int = 2
     percent: int = 80
     bands: int = 32
     rows: int = 5
     batch: int = 32
-    miss: float = 1e-7
-    block: int = 4096
-    partners: int = 64
+    miss: float = 1e-6
+    block: int = 4096  #: documents of a bucket that are compared in one task
+    sets_block: int = 1024  #: documents of a cluster whose sets are
     seed: int = 20240229
 
 
@@ -67,8 +74,8 @@ def least_matches(params: MinHashParams) -> list[int]:
     return out
 
 
-def plausible(x: np.ndarray, y: np.ndarray, params: MinHashParams) -> tuple[np.ndarray, np.ndarray]:
-    """Indexes of the row pairs of ``x`` and ``y`` that no batch prunes, and their agreements over all batches."""
+def plausible(x: np.ndarray, y: np.ndarray, params: MinHashParams) -> np.ndarray:
+    """Indexes of the row pairs of ``x`` and ``y`` that no batch prunes."""
     live, seen = np.arange(len(x)), np.zeros(len(x), np.int64)
     for i, least in enumerate(least_matches(params)):
         s = slice(i * params.batch, (i + 1) * params.batch)
@@ -77,7 +84,7 @@ def plausible(x: np.ndarray, y: np.ndarray, params: MinHashParams) -> tuple[np.n
         live, seen = live[ok], seen[ok]
         if not len(live):
             break
-    return live, seen
+    return live
 
 
 def features(docs: DataFrame, params: MinHashParams) -> DataFrame:
@@ -116,89 +123,139 @@ def features(docs: DataFrame, params: MinHashParams) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_shingles long, hi long, lo long, sig binary, bands array<long>")
 
 
-def _prune(pairs: DataFrame, sigs: DataFrame, params: MinHashParams) -> DataFrame:
-    """Pairs ``(a, b)`` that the sequential comparison of their signatures leaves."""
+def spanning_links(n: int, scan) -> list[tuple[int, int]]:
+    """A spanning forest of a graph of ``n`` nodes; ``scan(i, others)`` says which of ``others`` node i is linked with.
+
+    Nodes of the largest part found so far are not scanned: two parts that are linked have a node outside it.
+    """
+    part = np.arange(n)
+    size = np.ones(n, np.int64)
+    fresh = np.ones(n, bool)
+    links = []
+    i = 0
+    while True:
+        fresh[i] = False
+        others = np.flatnonzero(part != part[i])
+        if len(others):
+            for j in others[scan(i, others)]:
+                p, q = part[i], part[j]
+                if p != q:
+                    links.append((i, int(j)))
+                    part[part == q] = p
+                    size[p] += size[q]
+        left = np.flatnonzero(fresh & (part != part[int(np.argmax(size[part]))]))
+        if not len(left):
+            return links
+        i = int(left[0])
+
+
+def set_scanner(sets: list[np.ndarray], percent: int):
+    """A ``scan`` by exact similarity of sorted sets, over an inverted index of them."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    if len(sets) == 2:
+        both = len(np.intersect1d(*sets, assume_unique=True))
+        return lambda i, others: np.array([100 * both >= percent * (sizes.sum() - both)])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, item = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(item, kind="stable")
+    holders = owner[order]
+    first = np.searchsorted(item[order], np.arange(item.max() + 2))
+    starts = np.cumsum(sizes) - sizes
+
+    def scan(i, others):
+        mine = item[starts[i] : starts[i] + sizes[i]]
+        a, b = first[mine], first[mine + 1]
+        ends = np.cumsum(b - a)
+        place = np.arange(ends[-1]) + np.repeat(a - (ends - (b - a)), b - a)
+        both = np.bincount(holders[place], minlength=len(sets))[others]
+        return 100 * both >= percent * (sizes[i] + sizes[others] - both)
+
+    return scan
+
+
+def _dealt(groups: DataFrame, key: str, block: int) -> DataFrame:
+    """``groups(key, id, n, ...)`` with ``lo, hi``: every two members of a group of ``n`` meet in some (key, lo, hi)."""
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    side = F.pmod(F.xxhash64("id"), blocks.cast("long")).cast("int")
+    peer = F.explode(F.sequence(F.lit(0), blocks - 1))
+    return groups.withColumn("side", side).withColumn("peer", peer).withColumn("lo", F.least("side", "peer")).withColumn("hi", F.greatest("side", "peer")).drop("side", "peer", "n")
+
+
+def _units(batches, payload: int):
+    """Ids and payloads of the rows ``key, lo, hi, id, payload`` of each unit, sorted by unit."""
+    now, ids, held = None, [], []
+    for batch in batches:
+        for *unit, i, x in zip(*(c.to_pylist() for c in batch.columns[:4]), as_bytes(batch.column(payload)), strict=True):
+            if unit != now and ids:
+                yield ids, held
+                ids, held = [], []
+            now = unit
+            ids.append(i)
+            held.append(x)
+    if ids:
+        yield ids, held
+
+
+def _linked(units: DataFrame, payload: str, scanner_of, rows: int = 10_000) -> DataFrame:
+    """Links ``a, b`` of a spanning forest of each unit of ``units(key, lo, hi, id, payload)``."""
 
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i in (2, 3))
-            yield pa.RecordBatch.from_arrays([batch.column(i).take(pa.array(plausible(x, y, params)[0])) for i in (0, 1)], ["a", "b"])
+        scanner = scanner_of()
+        found: list[tuple[int, int]] = []
+        with np.errstate(over="ignore"):
+            for ids, held in _units(batches, 4):
+                if len(ids) > 1:
+                    found += [(ids[i], ids[j]) for i, j in spanning_links(len(ids), scanner(held))]
+                if len(found) >= rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], ["a", "b"])
+                    found = []
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], ["a", "b"])
+
+    spread = units.select("key", "lo", "hi", "id", payload).repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "id")
+    return spread.mapInArrow(run, "a long, b long")
+
+
+def plausible_links(sigs: DataFrame, params: MinHashParams) -> DataFrame:
+    """Links between documents that share a band and that no batch of hashes prunes."""
+
+    def scanner(held):
+        sig = np.frombuffer(b"".join(held), np.uint8).reshape(len(held), -1)
 
-    both = pairs.join(sigs.select(F.col("doc_id").alias("a"), F.col("sig").alias("x")), "a").join(sigs.select(F.col("doc_id").alias("b"), F.col("sig").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+        def scan(i, others):
+            out = np.zeros(len(others), bool)
+            out[plausible(np.broadcast_to(sig[i], (len(others), sig.shape[1])), sig[others], params)] = True
+            return out
 
+        return scan
 
-def _verify(pairs: DataFrame, docs: DataFrame, params: MinHashParams) -> DataFrame:
-    """The pairs whose full shingle sets reach the threshold. ``pairs`` is a written table."""
+    rows = sigs.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key"))
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    units = _dealt(rows.join(shared, "key"), "key", params.block)
+    return _linked(units.join(sigs.select(F.col("doc_id").alias("id"), "sig"), "id"), "sig", lambda: scanner).distinct()
+
+
+def exact_links(docs: DataFrame, clusters: DataFrame, params: MinHashParams) -> DataFrame:
+    """Links between documents of a cluster whose full shingle sets reach the threshold."""
     width, percent = params.shingle, params.percent
 
-    def run(batches):
-        import pyarrow as pa
+    def scanner_of():
+        hasher = WordHasher()
+        return lambda held: set_scanner([shingle_set(hasher.hashes(ascii_words(t)), width) for t in held], percent)
 
-        hasher, last, left = WordHasher(), None, None
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                keep = []
-                for x, y in zip(as_bytes(batch.column(2)), as_bytes(batch.column(3)), strict=True):
-                    if x != last:
-                        last, left = x, shingle_set(hasher.hashes(ascii_words(x)), width)
-                    right = shingle_set(hasher.hashes(ascii_words(y)), width)
-                    both = len(np.intersect1d(left, right, assume_unique=True))
-                    keep.append(100 * both >= percent * (len(left) + len(right) - both))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).where("text is not null").join(sized(ids), "doc_id", "left_semi")
-    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
-
-
-def _unsettled(members: DataFrame, comps: DataFrame, sigs: DataFrame, params: MinHashParams, turn: int) -> DataFrame:
-    """Plausible pairs across components inside buckets that more than one component still shares.
-
-    A bucket larger than ``block`` is dealt to pairs of blocks. Per turn each member proposes its next ``partners``
-    best partners at most, so that what a task emits stays bounded; ``more`` says that some member has others left.
-    """
-    size, most = params.block, params.partners
-
-    def unit(pdf):
-        import pandas as pd
-
-        pdf = pdf.sort_values("id").reset_index(drop=True)
-        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), -1)
-        ids, comp, side, lead = (pdf[c].to_numpy() for c in ("id", "comp", "side", "leader"))
-        lo, hi = pdf["lo"].iloc[0], pdf["hi"].iloc[0]
-        a, b, more = [], [], False
-        for i in range(len(pdf)):
-            if ids[i] == lead[i]:
-                continue  # leaders were compared with everyone in the first turn
-            other = np.flatnonzero((ids > ids[i]) & (ids != lead) & ((lo == hi) | (side != side[i])))
-            if not len(other):
-                continue
-            j, seen = plausible(np.broadcast_to(sig[i], (len(other), sig.shape[1])), sig[other], params)
-            j = other[j[np.argsort(-seen, kind="stable")]]
-            more |= len(j) > (turn + 1) * most
-            j = j[turn * most : (turn + 1) * most]
-            j = j[comp[j] != comp[i]]
-            a += [ids[i]] * len(j)
-            b += ids[j].tolist()
-        return pd.DataFrame({"a": a, "b": b, "more": more}).astype({"a": "int64", "b": "int64", "more": bool}) if a else pd.DataFrame({"a": [-1], "b": [-1], "more": [more]})
-
-    m = members.join(comps.withColumnRenamed("component", "comp"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    open_keys = m.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("n")).where("c0 < c1 and n > 2").withColumn("nb", F.ceil(F.col("n") / size).cast("int"))
-    m = m.join(open_keys.select("key", "nb"), "key").withColumn("side", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
-    m = m.withColumn("peer", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select("key", "id", "leader", "comp", "side", F.least("side", "peer").alias("lo"), F.greatest("side", "peer").alias("hi"))
-    m = m.join(sigs.select(F.col("doc_id").alias("id"), "sig"), "id")
-    return m.groupBy("key", "lo", "hi").applyInPandas(unit, "a long, b long, more boolean")
+    sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    members = clusters.join(sizes, "component").select(F.col("component").alias("key"), "id", "n")
+    units = _dealt(members, "key", params.sets_block)
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    return _linked(texts.join(sized(units, limit=100_000), "id"), "text", scanner_of).distinct()
 
 
 def near_duplicates(docs: DataFrame, params: MinHashParams = MinHashParams()) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs(doc_id, text, ...)``.
 
-    Documents with equal sets are one node. Buckets then link every member to the bucket's least id, which is linear
-    in the bucket; only buckets that still hold several components afterwards are compared further, in blocks.
+    Documents with equal sets are one node of the graph; a set's least doc_id stands for it.
 
     Null or empty text, or text without words: size 0, linked with nothing. A null doc_id: component_id null, kept.
     Repeated rows of one doc_id count as one document and are all returned. Other columns are ignored. An empty table
@@ -213,21 +270,7 @@ def near_duplicates(docs: DataFrame, params: MinHashParams = MinHashParams()) ->
         firsts = nodes.where("doc_id = rep").select("doc_id").distinct()
         sigs = scratch.save(real.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "sig", "bands"), "signatures")
         scratch.drop("features")
-        rows = sigs.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key"))
-        leaders = rows.groupBy("key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "leader")
-        members = scratch.save(rows.join(leaders, "key"), "members")
-        pairs = members.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-        links = scratch.save(_verify(scratch.save(_prune(pairs, sigs, params), "pairs-0"), docs, params), "links-0")
-        comps, turn = connected_components(links), 0
-        while True:
-            found = scratch.save(_unsettled(members, comps, sigs, params, turn), f"open-{turn}")
-            more = found.where("more").limit(1).count()
-            pairs = scratch.save(found.where("a <> b").select("a", "b").distinct(), f"pairs-{turn + 1}")
-            if not pairs.isEmpty():
-                links = links.union(scratch.save(_verify(pairs, docs, params), f"links-{turn + 1}"))
-                comps = connected_components(links)
-            if not more:
-                break
-            turn += 1
+        clusters = connected_components(scratch.save(plausible_links(sigs, params), "plausible"))
+        comps = connected_components(scratch.save(exact_links(docs, clusters, params), "links"))
         out = nodes.join(comps.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component_id", F.coalesce("component", "rep", "doc_id"))
         return cut(out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
