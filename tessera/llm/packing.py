@@ -25,54 +25,65 @@ class PackParams:
     steps: int = 400
 
 
-class UnitIds(dict):
-    """Ids of a blank and the text after it, as little-endian uint32 bytes; None where that text is empty or begins with
-    white space. Two generations of at most ``limit`` units are remembered."""
-
-    def __init__(self, tokenizer, limit: int = 250_000):
-        self.tokenizer, self.limit, self.old = tokenizer, limit, {}
-
-    def __missing__(self, unit: str) -> bytes | None:
-        if unit in self.old:
-            ids = self.old[unit]
-        elif not unit or unit[0].isspace():
-            ids = None
-        else:
-            ids = array("I", self.tokenizer.encode(" " + unit, add_special_tokens=False).ids).tobytes()
-        if len(self) >= self.limit:
-            self.old = dict(self)
-            self.clear()
-        self[unit] = ids
-        return ids
+def _byte_of_char() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable Latin-1 characters are their own
+    byte, the other bytes follow in order from U+0100."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(0x100 + k): b for k, b in enumerate(rest)}
+
+
+#: The pre-tokeniser of byte-level BPE, a fixed value of the format.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class Encoder:
-    """Byte-level BPE ids of whole texts.
+    """Ids of whole texts as little-endian uint32 bytes, as ``tokenizers`` gives them for a vocabulary file.
 
-    The vocabulary's pre-tokeniser ends a token before every blank that a non-blank follows. Texts are cut at blanks,
-    and units that were met before are not encoded again. A text in which white space follows a blank, or that ends in
-    one, or that may spell a special token, is encoded in one piece.
+    A byte-level vocabulary whose ids follow the order of its merges is also run by ``tiktoken``, which gives the same
+    ids five times as fast. That is done for texts of characters below U+0500, on whose classes all versions of Unicode
+    agree, that spell no special token; the first ``proof`` texts go through both, and a difference raises.
     """
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, proof: int = 8):
+        import json
+        import re
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.units = UnitIds(self.tokenizer)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        from tokenizers import Tokenizer
 
-    def whole(self, text: str) -> bytes:
+        self.tokenizer, self.proof = Tokenizer.from_file(path), proof
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.slow = re.compile("|".join(["[^\x00-\u04ff]", *special]))
+        with open(path, encoding="utf-8") as f:
+            self.fast = self._ranked(json.load(f))
+
+    @staticmethod
+    def _ranked(spec: dict):
+        import tiktoken
+
+        model, pre, chars = spec["model"], spec.get("pre_tokenizer") or {}, _byte_of_char()
+        plain = model["type"] == "BPE" and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not spec.get("normalizer") and not model.get("end_of_word_suffix")
+        if not plain:
+            return None
+        vocab = model["vocab"]
+        merges = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+        if any(vocab.get(m) != 256 + k for k, m in enumerate(merges)) or any(vocab.get(c, 256) > 255 for c in chars):
+            return None
+        ranks = {bytes(chars[c] for c in token): i for token, i in vocab.items() if i < 256 + len(merges)}
+        return tiktoken.Encoding("bytes", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def exact(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
-            return self.whole(text)
-        first, *rest = text.split(" ")
-        try:
-            ids = b"".join(map(self.units.__getitem__, rest))
-        except TypeError:  # a None
-            return self.whole(text)
-        return self.whole(first) + ids if first else ids
+        if self.fast is None or self.slow.search(text):
+            return self.exact(text)
+        ids = array("I", self.fast.encode_ordinary(text)).tobytes()
+        if self.proof:
+            self.proof -= 1
+            if ids != self.exact(text):
+                raise ValueError("tiktoken and tokenizers differ on this vocabulary")
+        return ids
 
 
 def pieces_of(ids: bytes, width: int) -> list[tuple[int, int, int]]:
