@@ -45,9 +45,11 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.root = spark, f"{scratch_base(spark)}/{label}-{uuid.uuid4().hex}"
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """Writes ``df`` and reads it back; ``by``: a column whose values get folders of their own, ``name/by=value``."""
         path = f"{self.root}/{name}"
-        df.write.option("compression", "zstd").parquet(path)
+        writer = df.write.option("compression", "zstd")
+        (writer.partitionBy(by) if by else writer).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str = "") -> None:

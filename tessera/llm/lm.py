@@ -31,14 +31,15 @@ class LmParams:
     held_fold: int = 2
     kappa: float = 3.0
     beta: float = 0.85
-    chunk_tokens: int = 1 << 18
+    chunk_tokens: int = 1 << 19
     shard_words: int = 1 << 19  #: entries of chunk vocabularies a task counts
-    shard_tokens: int = 1 << 22  #: tokens a shard of bigrams stands for
+    shard_tokens: int = 1 << 21  #: tokens a shard of bigrams stands for
 
 
 #: No word has a blank.
 _END = b"the end"
-_RANK_BITS = 24
+#: An id is a range of hashes and a place in it; the two fill this many bits at most, beside a context's place in its shard.
+_RANK_BITS, _WORD_BITS = 24, 42
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -74,7 +75,8 @@ def _deltas(ascending: np.ndarray) -> np.ndarray:
 
 
 def chunks(docs: DataFrame, params: LmParams) -> DataFrame:
-    """``chunk, n_words, n_tokens, words, body``: the vocabulary with its training counts, and the documents."""
+    """``kind, chunk, n, payload``: of each chunk the vocabulary with its training counts (kind 0, n words), and the
+    documents (kind 1, n tokens)."""
     fold = crc_mod(F.col("doc_id"), params.folds)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(fold == params.held_fold, F.lit(False)).alias("held"))
 
@@ -93,8 +95,9 @@ def chunks(docs: DataFrame, params: LmParams) -> DataFrame:
             counts = np.bincount(tokens[np.repeat(learnt, sizes)], minlength=len(vocabulary))
             kind = np.uint16 if len(vocabulary) <= 1 << 16 else np.uint32
             body = pack(np.array([i or 0 for i in ids], np.int64), known, np.array(held), np.array(sizes, np.uint32), tokens.astype(kind))
-            cols = [pa.array([(part << 32) | seq], pa.int64()), pa.array([len(vocabulary)], pa.int64()), pa.array([len(tokens)], pa.int64()), pa.array([pack(_deltas(vocabulary), counts.astype(np.uint32))], pa.binary()), pa.array([body], pa.binary())]
-            return pa.RecordBatch.from_arrays(cols, ["chunk", "n_words", "n_tokens", "words", "body"])
+            words = pack(_deltas(vocabulary), counts.astype(np.uint32))
+            cols = [pa.array([0, 1], pa.int32()), pa.array([(part << 32) | seq] * 2, pa.int64()), pa.array([len(vocabulary), len(tokens)], pa.int64()), pa.array([words, body], pa.binary())]
+            return pa.RecordBatch.from_arrays(cols, ["kind", "chunk", "n", "payload"])
 
         for batch in batches:
             for doc_id, text, out in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
@@ -107,7 +110,7 @@ def chunks(docs: DataFrame, params: LmParams) -> DataFrame:
         if ids:
             yield close()
 
-    return rows.mapInArrow(run, "chunk long, n_words long, n_tokens long, words binary, body binary")
+    return rows.mapInArrow(run, "kind int, chunk long, n long, payload binary")
 
 
 def _grouped(batches, key: int) -> Iterator[tuple[int, list[tuple]]]:
@@ -161,7 +164,7 @@ def count_words(table: DataFrame, parts: int) -> DataFrame:
             cols = list(zip(*out, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64()), strict=True)], ["chunk", "part", "payload", "n", "v"])
 
-    dealt = table.select("chunk", "words").mapInArrow(split, "part int, chunk long, payload binary")
+    dealt = table.where("kind = 0").select("chunk", "payload").mapInArrow(split, "part int, chunk long, payload binary")
     return dealt.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(add, "chunk long, part int, payload binary, n long, v long")
 
 
@@ -228,42 +231,45 @@ def _deal(words: list[tuple[int, bytes]], body: bytes, total: int, distinct: int
     return head, out
 
 
-def build_shard(first: np.ndarray, second: np.ndarray, seen: np.ndarray, context_count: np.ndarray, unigram: np.ndarray, params: LmParams) -> NgramTrie:
-    """The trie of the bigrams with ``seen`` > 0; rows may repeat and are added up."""
-    on = seen > 0
-    contexts, c = np.unique(first[on], return_inverse=True)
-    order = np.lexsort((second[on], c))
-    c, w = c[order], second[on][order]
-    lead = np.flatnonzero(np.r_[True, (c[1:] != c[:-1]) | (w[1:] != w[:-1])]) if len(c) else np.zeros(0, np.int64)
-    n2 = np.add.reduceat(seen[on][order].astype(np.int64), lead) if len(lead) else np.zeros(0)
-    n1, p1 = context_count[on][order][lead], unigram[on][order][lead]
-    m = mass(n1, params)
-    pairs = np.stack([contexts[c[lead]], w[lead]], 1) if len(lead) else np.zeros((0, 2), np.uint64)
-    return NgramTrie.build([contexts[:, None], pairs], [np.zeros(len(contexts)), np.log10((n2 + m * p1) / (n1 + m))])
+def build_shard(parts: Iterator[tuple[np.ndarray, ...]], params: LmParams) -> NgramTrie:
+    """The trie of a shard's bigrams from ``first, second, seen, context_count, unigram`` arrays; rows are added up."""
+    first, second, seen, n1, p1 = (np.concatenate(x) for x in zip(*([a[p[2] > 0] for a in p] for p in parts), strict=True))
+    contexts, c = np.unique(first, return_inverse=True)
+    key = (c.astype(np.uint64) << np.uint64(_WORD_BITS)) | second
+    del first, c
+    order = np.argsort(key)
+    key = key[order]
+    lead = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    n2 = np.add.reduceat(seen[order].astype(np.int64), lead) if len(lead) else np.zeros(0, np.int64)
+    some = order[lead]
+    m = mass(n1[some], params)
+    logp = np.log10((n2 + m * p1[some]) / (n1[some] + m))
+    pairs = np.stack([contexts[(key[lead] >> np.uint64(_WORD_BITS)).astype(np.int64)], second[some]], 1)
+    del key, order, some
+    return NgramTrie.build([contexts[:, None], pairs], [np.zeros(len(contexts)), logp])
+
+
+def _shard(rows: list[bytes], total: int, distinct: int, params: LmParams) -> Iterator[bytes]:
+    """For each chunk's bigrams of this shard: documents and the sums of their log10 probabilities."""
 
+    def entries(row):
+        lead, size, n1, second, n, seen, width, docs, times = unpack(row)
+        return np.repeat(np.cumsum(lead, dtype=np.uint64), size), second, seen, np.repeat(n1, size), (n + 1) / (total + distinct + 1), width, docs, times
 
-def _shard(rows: list[bytes], total: int, distinct: int, params: LmParams) -> list[bytes]:
-    """For each chunk's bigrams of this shard: documents and the sums of their log10 probabilities."""
-    loaded = []
-    for r in rows:
-        lead, size, n1, second, n, seen, width, docs, times = unpack(r)
-        first = np.repeat(np.cumsum(lead, dtype=np.uint64), size)
-        loaded.append((first, second, np.repeat(n1, size).astype(float), (n + 1) / (total + distinct + 1), seen, width, docs, times))
-    joined = [np.concatenate([x[j] for x in loaded]) for j in range(5)]
     with tempfile.TemporaryDirectory() as folder:
         path = os.path.join(folder, "trie")
-        build_shard(joined[0], joined[1], joined[4], joined[2], joined[3], params).save(path)
-        trie, out = NgramTrie.load(path), []
-        for first, second, n1, p1, _, width, docs, times in loaded:
+        build_shard((entries(r)[:5] for r in rows), params).save(path)
+        trie = NgramTrie.load(path)
+        for row in rows:  # unpacked again rather than held: a shard is one chunk large at a time
+            first, second, _, n1, p1, width, docs, times = entries(row)
             at = trie.find(np.stack([first, second], 1))
             m = mass(n1, params)
             logp = np.log10(m * p1 / (n1 + m))
             logp[at >= 0] = trie.logp(1, at[at >= 0])
             sums = np.bincount(docs, np.repeat(logp, width) * times)
             some = np.flatnonzero(np.bincount(docs))
-            out.append(pack(some.astype(np.uint32), sums[some]))
+            yield pack(some.astype(np.uint32), sums[some])
         del trie
-    return out
 
 
 def score(docs: DataFrame, params: LmParams = LmParams()) -> DataFrame:
@@ -274,11 +280,13 @@ def score(docs: DataFrame, params: LmParams = LmParams()) -> DataFrame:
     word, 1. An empty table gives no rows.
     """
     with Scratch(docs.sparkSession, "lm") as scratch:
-        table = scratch.save(chunks(docs, params), "chunks")
-        size = table.agg(F.sum("n_words").alias("w"), F.sum("n_tokens").alias("t")).first()
-        parts = max(8, -(-(size["w"] or 0) // params.shard_words))
-        shards = max(8, -(-(size["t"] or 0) // params.shard_tokens))
+        table = scratch.save(chunks(docs, params), "chunks", by="kind")
+        size = {r["kind"]: r["n"] for r in table.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
+        parts = max(8, -(-size.get(0, 0) // params.shard_words))
+        shards = max(8, -(-size.get(1, 0) // params.shard_tokens))
         counts = scratch.save(count_words(table, parts), "counts")
+        bodies = table.where("kind = 1").select("chunk", F.col("payload").alias("body"))
+        scratch.drop("chunks/kind=0")
         found = counts.where("chunk < 0").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
         total, distinct = found["n"] or 0, found["v"] or 0
 
@@ -297,7 +305,7 @@ def score(docs: DataFrame, params: LmParams = LmParams()) -> DataFrame:
             for shard, rows in _grouped(batches, 0):
                 payloads = [r[2] for r in rows]
                 if shard >= 0:
-                    payloads = _shard(payloads, total, distinct, params)
+                    payloads = list(_shard(payloads, total, distinct, params))
                 yield pa.RecordBatch.from_arrays([pa.array([r[1] for r in rows], pa.int64()), pa.array([shard < 0] * len(rows)), pa.array(payloads, pa.binary())], ["chunk", "head", "payload"])
 
         def close(batches):
@@ -315,7 +323,7 @@ def score(docs: DataFrame, params: LmParams = LmParams()) -> DataFrame:
 
         # a chunk's words lie in as many ranges as it has words at most
         words = counts.where("chunk >= 0").groupBy("chunk").agg(F.collect_list(F.struct("part", "payload")).alias("words"))
-        dealt = table.select("chunk", "body").join(words, "chunk").select("chunk", "body", "words").mapInArrow(deal, "shard long, chunk long, payload binary")
+        dealt = bodies.join(words, "chunk").select("chunk", "body", "words").mapInArrow(deal, "shard long, chunk long, payload binary")
         answered = dealt.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(answer, "chunk long, head boolean, payload binary")
         final = answered.repartition(max(8, shards // 4), "chunk").sortWithinPartitions("chunk").mapInArrow(close, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
         return cut(final)
