@@ -134,7 +134,7 @@ def _slices(wanted: DataFrame, texts: DataFrame) -> DataFrame:
 
     # a text has few segments more than (its bytes / 50), so the list is bounded by the text
     per = wanted.groupBy("ka", "kb", "id").agg(F.collect_list(F.struct("h", "ch", "m", "start", "len")).alias("places"))
-    return texts.join(sized(per, limit=50_000), ["ka", "kb", "id"]).select("ka", "kb", "text", "places").mapInArrow(run, "ka long, kb long, h long, ch long, m long, start int, bytes binary")
+    return texts.join(per, ["ka", "kb", "id"]).select("ka", "kb", "text", "places").mapInArrow(run, "ka long, kb long, h long, ch long, m long, start int, bytes binary")
 
 
 def _runs(starts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -278,7 +278,7 @@ def _apply(docs: DataFrame, params: SuffixParams, answer, columns: dict[str, str
     with Scratch(docs.sparkSession, "suffix") as scratch:
         texts = keyed.where(F.octet_length("text") >= params.least).select("ka", "kb", F.coalesce("doc_id", F.lit(-1)).alias("id"), "text")
         cover = coverage(texts, scratch, params)
-        return cut(keyed.join(sized(cover, limit=50_000), ["ka", "kb"], "left").select("doc_id", "text", "spans").mapInArrow(run, schema))
+        return cut(keyed.join(cover, ["ka", "kb"], "left").select("doc_id", "text", "spans").mapInArrow(run, schema))
 
 
 def removals(docs: DataFrame, params: SuffixParams = SuffixParams()) -> DataFrame:
