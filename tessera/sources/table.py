@@ -25,6 +25,11 @@ CARRIED = {"__rowid": "bigint", "__created": "bigint", "__updated": "bigint"}
 BROADCAST_DELETES = 1_000_000
 
 
+def nullable(schema: T.StructType) -> T.StructType:
+    """A table made from rows takes nulls in every column, whatever its first rows were."""
+    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
+
+
 class Table:
     """A table at a path. Methods that write return the new version's manifest."""
 
@@ -150,8 +155,7 @@ class Table:
     def _scan(self, m: Manifest, files: list[Fragment], schema: T.StructType, hidden: bool = False) -> DataFrame:
         if hidden:
             schema = T.StructType([*schema.fields, *(T.StructField(n, T.LongType()) for n in CARRIED)])
-        nullable = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
-        rows = self.spark.read.schema(nullable).parquet(*[f"{self.root}/{f.path}" for f in files])
+        rows = self.spark.read.schema(nullable(schema)).parquet(*[f"{self.root}/{f.path}" for f in files])
         if hidden:
             rows = rows.withColumns({"__file": F.col("_metadata.file_name"), "__row": F.col("_metadata.row_index")})
         return rows
@@ -288,7 +292,7 @@ class Table:
     def replace_with(self, df: DataFrame, properties: dict[str, str] | None = None) -> Manifest:
         """Replaces rows and schema in one commit."""
         properties = {k: str(v) for k, v in (properties or {}).items()}
-        schema = apply_properties(T.StructType(df.schema.fields), properties)
+        schema = apply_properties(nullable(df.schema), properties)
         check_storable(schema)
         return self._append(df, True, schema, properties, None, "replace")
 
@@ -315,6 +319,6 @@ def write(df: DataFrame, path: str, mode: str = "error", properties: dict[str, s
     elif there and mode == "create_or_replace":
         table.replace_with(df, properties)
     elif not (there and mode == "ignore"):
-        table = Table.create(df.sparkSession, path, T.StructType([T.StructField(f.name, f.dataType, f.nullable, f.metadata) for f in df.schema.fields]), properties)
+        table = Table.create(df.sparkSession, path, nullable(df.schema), properties)
         table.append(df, most)
     return table
