@@ -39,8 +39,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Rows that Python workers get at a time; whole texts are long.
+BATCH_ROWS = 2000
+_BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 class Scratch:
-    """Intermediate Parquet tables under the shared folder, deleted as soon as nothing reads them any more."""
+    """Intermediate Parquet tables under the shared folder, deleted as soon as nothing reads them any more.
+
+    As a context it also has Arrow batches made of fewer rows, which bounds the memory of Python workers.
+    """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.root = spark, f"{scratch_base(spark)}/{label}-{uuid.uuid4().hex}"
@@ -58,9 +66,12 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def __enter__(self) -> Scratch:
+        self.rows = self.spark.conf.get(_BATCH_KEY)
+        self.spark.conf.set(_BATCH_KEY, str(min(BATCH_ROWS, int(self.rows)) if int(self.rows) > 0 else BATCH_ROWS))
         return self
 
     def __exit__(self, *_) -> None:
+        self.spark.conf.set(_BATCH_KEY, self.rows)
         self.drop()
 
 

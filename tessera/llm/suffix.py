@@ -28,7 +28,7 @@ class SuffixParams:
 
     least: int = 200
     anchor: int = 64
-    chunk_bytes: int = 2 << 20
+    chunk_bytes: int = 1 << 20
     group_bytes: int = 8 << 20
 
 
@@ -106,7 +106,7 @@ def segments(texts: DataFrame, params: SuffixParams) -> DataFrame:
                     parts.append((h, ch, a, b - a))
                     owner.append((i, len(a)))
                     size += len(a)
-                    if size > 200_000:
+                    if size > 50_000:
                         yield flush()
                         parts, owner, size = [], [], 0
                 if parts:
