@@ -92,14 +92,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, params: DecontamParams
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, params: DecontamParams = DecontamParams()) -> DataFrame:
     """The rows of ``docs`` in whose text no benchmark window occurs; all columns pass through."""
+    docs = docs.drop("__key")
     hits = find_hits(docs, benchmark, params).select(F.col("key").alias("__key"))
     return docs.withColumn("__key", _text_key(F.col("text").cast("string"))).join(sized(hits), "__key", "left_anti").drop("__key")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, params: DecontamParams = DecontamParams()) -> DataFrame:
     """``docs`` with the words of benchmark windows taken out; a text that changes becomes its words with single blanks."""
-    hits = find_hits(docs, benchmark, params).select(F.col("key").alias("__key"), "spans")
+    docs = docs.drop("__key", "__spans")
+    hits = find_hits(docs, benchmark, params).select(F.col("key").alias("__key"), F.col("spans").alias("__spans"))
     keyed = docs.withColumn("__key", _text_key(F.col("text").cast("string"))).join(sized(hits), "__key", "left")
     w = words(F.col("text").cast("string"))
-    left = F.filter(w, lambda _, i: ~F.exists("spans", lambda s: (s["start"] <= i) & (i < s["start"] + s["width"])))
-    return keyed.withColumn("text", F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.array_join(left, " "))).select(*docs.columns)
+    left = F.filter(w, lambda _, i: ~F.exists("__spans", lambda s: (s["start"] <= i) & (i < s["start"] + s["width"])))
+    return keyed.withColumn("text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(F.array_join(left, " "))).select(*docs.columns)

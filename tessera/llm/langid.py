@@ -70,6 +70,8 @@ def score_texts(texts: list[str | None], model: LangModel) -> tuple[list[str], n
     """Predicted language and posterior probability of each text; ``und`` and 0 for null and for texts without letters."""
     given = [i for i, t in enumerate(texts) if t]
     langs, scores = ["und"] * len(texts), np.zeros(len(texts))
+    if not model.langs:
+        return langs, scores
     for part in blocks(given, lambda i: len(texts[i]), model.params.block_chars):
         rows, starts, letters = ngram_rows([texts[i] for i in part], model.params)
         total = np.zeros((len(part), len(model.langs)))

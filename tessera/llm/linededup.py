@@ -20,6 +20,10 @@ class LineParams:
     salts: int = 32
 
 
+#: Lines to drop, over all hosts, that are broadcast once counted; beyond it the join is dealt by host and salt.
+BROADCAST_LINES = 200_000
+
+
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
@@ -44,13 +48,14 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", params: LineParams =
 
     Pages of a null host form one host, together with the empty one. Null text stays null with 0 lines; an empty text is
     one blank line. A line repeated within a page counts once for the ratio and is dropped each time. Repeated rows are
-    pages of their own. Columns other than text pass through.
+    pages of their own. Columns other than text pass through, but for those named as the two new ones, which they replace.
     """
+    docs = docs.drop("n_lines", "n_dropped", "__host", "__drop", "__kept", "__salt")
     # a few lines a host, see LineParams
     found = cut(boilerplate(docs, host, params).groupBy("host").agg(F.collect_set("key").alias("__drop")).withColumnRenamed("host", "__host"))
     lines = found.select(F.sum(F.size("__drop")).alias("n"), F.count(F.lit(1)).alias("hosts")).first()
     keyed = docs.withColumn("__host", F.coalesce(F.col(host).cast("string"), F.lit("")))
-    if (lines["n"] or 0) <= 200_000:
+    if (lines["n"] or 0) <= BROADCAST_LINES:
         joined = keyed.join(F.broadcast(found), "__host", "left")
     else:  # a host may have a third of the pages: deal its pages to several tasks
         salt = F.pmod(F.xxhash64("text"), F.lit(params.salts)).cast("int")

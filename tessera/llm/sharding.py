@@ -72,8 +72,10 @@ def shard(docs: DataFrame, key: str = "doc_id", params: ShardParams = ShardParam
     """``docs`` with ``n_bytes`` of text, ``shard`` (its hash prefix in bits), ``depth``, ``shard_docs``, ``shard_bytes``, ``oversized``.
 
     Null text has no bytes. Rows of one key, and all rows of a null or empty key, share a hash and so a shard; it is
-    marked oversized if they exceed the limit, and so is a single larger document. An empty table gives no rows.
+    marked oversized if they exceed the limit, and so is a single larger document. An empty table gives no rows. Input
+    columns named as the new ones are replaced.
     """
+    docs = docs.drop("n_bytes", "shard", "depth", "shard_docs", "shard_bytes", "oversized", "__h", "__t", "__bucket")
     rows = docs.withColumn("__h", hash_bits(F.col(key))).withColumn("n_bytes", F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).cast("long"))
     with Scratch(docs.sparkSession, "sharding") as scratch:
         leaves = directory(scratch.save(rows.select(F.col("__h").alias("h"), F.col("n_bytes").alias("bytes")), "sizes"), params)
