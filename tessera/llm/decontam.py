@@ -18,7 +18,7 @@ class DecontamParams:
 
 
 _LOWER_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
@@ -27,10 +27,15 @@ def words(text: Column) -> Column:
 
 
 def _marks(w: Column, width: int) -> Column:
-    """By start: a hash of the window's first, middle and last word. It is cheap to scan with and misses no window."""
-    at = lambda i, j: F.get(w, i + F.lit(j))
+    """By start: a hash of four words of the window. It is cheap to scan with and misses no window."""
     starts = F.sequence(F.lit(0), F.size(w) - width)
-    return F.when(F.size(w) >= width, F.transform(starts, lambda i: F.xxhash64(F.lit(width), at(i, 0), at(i, width // 2), at(i, width - 1)))).otherwise(F.array())
+    mark = lambda i: F.xxhash64(F.lit(width), *[F.get(w, i + F.lit(j)) for j in _sampled(width)])
+    return F.when(F.size(w) >= width, F.transform(starts, mark)).otherwise(F.array())
+
+
+def _sampled(width: int) -> list[int]:
+    """Places of the words of a window that its mark is made of."""
+    return [0, (width - 1) // 3, 2 * (width - 1) // 3, width - 1]
 
 
 def benchmark_windows(benchmark: DataFrame, params: DecontamParams = DecontamParams()) -> DataFrame:
@@ -38,8 +43,9 @@ def benchmark_windows(benchmark: DataFrame, params: DecontamParams = DecontamPar
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text").cast("string")).alias("w")).where("size(w) > 0 and item_id is not null")
     items = items.withColumn("width", F.least(F.size("w"), F.lit(params.width)))
     starts = items.select("item_id", "width", "w", F.explode(F.sequence(F.lit(0), F.size("w") - F.col("width"))).alias("i"))
-    at = lambda j: F.get(F.col("w"), F.col("i") + j)
-    mark = F.xxhash64(F.col("width"), at(F.lit(0)), at(F.floor(F.col("width") / 2).cast("int")), at(F.col("width") - 1))
+    mark = F.lit(None).cast("long")
+    for n in range(1, params.width + 1):
+        mark = F.when(F.col("width") == n, F.xxhash64(F.lit(n), *[F.get("w", F.col("i") + j) for j in _sampled(n)])).otherwise(mark)
     window = F.array_join(F.slice(F.col("w"), F.col("i") + 1, F.col("width")), " ")
     return starts.select("item_id", "width", mark.alias("mark"), window.alias("window")).distinct()
 
@@ -86,7 +92,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, params: DecontamParams
     """
     hits = find_hits(docs, benchmark, params).drop("spans")
     text = F.col("text").cast("string")
-    rows = docs.select("doc_id", F.coalesce(F.regexp_count(text, F.lit(_ANY_WORD)), F.lit(0)).cast("long").alias("n_words"), _text_key(text).alias("key"))
+    rows = docs.select("doc_id", F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), _GAP, -1), "")).cast("long").alias("n_words"), _text_key(text).alias("key"))
     return rows.join(sized(hits), "key", "left").select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"), F.col("n_hit").isNotNull().alias("contaminated"))
 
 

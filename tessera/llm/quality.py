@@ -29,10 +29,10 @@ class QualityParams:
 
 #: Rule: its value in thousandths, a whole number, of the metrics below.
 RULES = {
-    "symbols": "1000 * n_symbols div n_words",
+    "symbols": "1000 * n_symbols div greatest(n_words, 1)",
     "dup_lines": "1000 * n_dup_lines div greatest(n_lines, 1)",
-    "repeats": "1000 * n_repeat_words div n_words",
-    "long_words": "100 * word_chars div n_words",
+    "repeats": "1000 * n_repeat_words div greatest(n_words, 1)",
+    "long_words": "100 * word_chars div greatest(n_words, 1)",
     "short_words": "1000 * n_words div greatest(word_chars, 1)",
 }
 
