@@ -9,7 +9,7 @@ import duckdb
 import numpy as np
 import pytest
 import zstandard
-from conftest import make
+from helpers import make
 
 from tessera.llm import packing, suffix, warc
 from tessera.llm.bwt import repeated_starts

@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from conftest import make
+from helpers import make
 
 from tessera.llm.components import connected_components
 from tessera.llm.minhash import MinHashParams, least_matches, near_duplicates, set_scanner, spanning_links

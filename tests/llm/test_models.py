@@ -7,7 +7,7 @@ import tempfile
 import zlib
 
 import numpy as np
-from conftest import make
+from helpers import make
 
 from tessera.llm.eliasfano import EliasFano, NgramTrie
 from tessera.llm.langid import LangParams, identify

@@ -4,7 +4,7 @@ import math
 
 import duckdb
 import pytest
-from conftest import make
+from helpers import make
 from pyspark.sql import functions as F
 
 from tessera.llm import decontam, linededup, quality, sharding
