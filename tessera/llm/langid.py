@@ -121,7 +121,7 @@ def train(docs: DataFrame, params: LangParams = LangParams()) -> LangModel:
             yield pa.RecordBatch.from_arrays([pa.array(i[t], pa.int32()), pa.array(j[t], pa.int32()), pa.array(held[i[t], j[t]], pa.int64())], ["i", "j", "n"])
 
     counts = np.zeros(((1 << params.bits) + 1, len(langs)))
-    totals = sample.select("text", "lang").coalesce(64).mapInArrow(run, "i int, j int, n long").groupBy("i", "j").agg(F.sum("n").alias("n"))
+    totals = sample.select("text", "lang").mapInArrow(run, "i int, j int, n long").groupBy("i", "j").agg(F.sum("n").alias("n"))
     table = totals.toArrow()
     counts[table["j"].to_numpy(), table["i"].to_numpy()] = table["n"].to_numpy()
     logp = np.log((counts + params.alpha) / (counts.sum(0) + params.alpha * len(counts)))
