@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import types as T
 
 from ..errors import InvalidArgument
 
-# Property suffixes and the metadata keys that stand for them.
-VECTOR_PROPERTY = ".arrow.fixed-size-list.size"
+# Property names after the column's, and the metadata keys that stand for them. A vendor's name may stand
+# before "encoding".
+VECTOR_PROPERTY = r"\.arrow\.fixed-size-list\.size"
 VECTOR_KEY = "arrow.fixed-size-list.size"
-BLOB_PROPERTY = ".lance.encoding"
-BLOB_KEY = "lance-encoding:blob"
-LARGE_PROPERTY = ".arrow.large_var_char"
+BLOB_PROPERTY = r"(?:\.\w+)?\.encoding"
+BLOB_KEY = "encoding:blob"
+LARGE_PROPERTY = r"\.arrow\.large_var_char"
 LARGE_KEY = "arrow:large-var-char"
 
 
@@ -52,8 +55,9 @@ def apply_properties(schema: T.StructType, properties: dict[str, str]) -> T.Stru
         (LARGE_PROPERTY, _large, LARGE_KEY, lambda v: True if v.lower() == "true" else None),
     ):
         for name, value in properties.items():
-            if name.endswith(suffix) and (made := wanted(str(value))) is not None:
-                schema = _marked(schema, name.removesuffix(suffix), check, key, made)
+            found = re.fullmatch(rf"(.+?){suffix}", name)
+            if found and (made := wanted(str(value))) is not None:
+                schema = _marked(schema, found[1], check, key, made)
     return schema
 
 

@@ -274,7 +274,7 @@ def fragment_aware_join(t):
 def blob_sizes(t):
     """A blob reads as empty bytes with its size beside it."""
     docs = t.documents.select("doc_id", F.encode("text", "utf-8").alias("data"))
-    rows = _copy(t, docs, properties={"data.lance.encoding": "blob"}).df(metadata=True)
+    rows = _copy(t, docs, properties={"data.tessera.encoding": "blob"}).df(metadata=True)
     return rows.select("doc_id", F.col("data__blob_size").alias("size"), F.octet_length("data").alias("read"))
 
 

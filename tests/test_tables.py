@@ -86,11 +86,11 @@ def test_not_null_and_vector_length(spark, path):
     assert table.count() == 2
 
 
-@pytest.mark.parametrize("column, key", [("s", "s.arrow.fixed-size-list.size"), ("s", "s.lance.encoding"), ("v", "v.arrow.large_var_char")])
+@pytest.mark.parametrize("column, key", [("s", "s.arrow.fixed-size-list.size"), ("s", "s.tessera.encoding"), ("v", "v.arrow.large_var_char")])
 def test_kind_errors(column, key):
     schema = T.StructType([T.StructField("s", T.StringType()), T.StructField("v", T.ArrayType(T.StringType()))])
     with pytest.raises(InvalidArgument):
-        apply_properties(schema, {key: {"s.lance.encoding": "blob", "v.arrow.large_var_char": "true"}.get(key, "4")})
+        apply_properties(schema, {key: {"s.tessera.encoding": "blob", "v.arrow.large_var_char": "true"}.get(key, "4")})
     with pytest.raises(InvalidArgument):
         apply_properties(schema, {"v.arrow.fixed-size-list.size": "4"})
 
@@ -255,7 +255,7 @@ def test_indexes(spark, path):
 
 def test_blobs(spark, path):
     data = spark.createDataFrame([(1, bytearray(b"x" * 1000)), (2, None), (3, bytearray(b""))], "id int, data binary")
-    table = write(data, path, properties={"data.lance.encoding": "blob"})
+    table = write(data, path, properties={"data.tessera.encoding": "blob"})
     rows = {r.id: r for r in table.df(metadata=True).collect()}
     assert bytes(rows[1].data) == b"" and rows[1].data__blob_size == 1000 and rows[2].data is None and rows[2].data__blob_size is None
     dml.update(table, {"id": "id + 10"}, "id = 1")
