@@ -21,13 +21,15 @@ def is_path(name: str) -> bool:
 class Catalog:
     """``root/<namespace>/.../<name>.table.json`` points at a table; ``_namespace.json`` makes a folder a namespace.
 
-    ``single_level``: names have one namespace, ``default``, which is always there. Without ``root`` only paths work.
+    ``single_level``: names have one namespace, ``default``, which is always there. ``parent``: a namespace, its parts
+    parted by ``parent_delimiter``, that all names are taken to be in. ``defaults``: properties of new tables, such as
+    ``enable_stable_row_ids``, which a table's own override. Without ``root`` only paths work.
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None, name: str = "tessera", single_level: bool = False, defaults: dict[str, str] | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None, name: str = "tessera", single_level: bool = False, defaults: dict[str, str] | None = None, parent: str | None = None, parent_delimiter: str = "."):
         self.spark, self.name, self.single_level, self.defaults = spark, name, single_level, defaults or {}
         self.files = Files(spark)
-        self.root = self.files.qualified(root) if root else None
+        self.root = "/".join([self.files.qualified(root), *(parent.split(parent_delimiter) if parent else [])]) if root else None
         if self.root:
             self.files.mkdirs(self.root)
 

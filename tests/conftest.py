@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", f"file://{base}/checkpoints")
         .config("spark.sql.warehouse.dir", f"{base}/warehouse")

@@ -131,3 +131,18 @@ def test_use_and_joins(engine, spark):
     assert rows(engine.sql("SELECT b.name, count(*) FROM a JOIN b ON a.k = b.k GROUP BY b.name")) == [("n0", 3), ("n1", 3), ("n2", 3)]
     assert rows(engine.sql("WITH c AS (SELECT * FROM a WHERE id > 5) SELECT count(*) FROM c")) == [(3,)]
     assert rows(engine.sql("SELECT 'FROM a' AS s FROM b WHERE k = 0")) == [("FROM a",)]
+
+
+def test_connect_and_parent(spark, tmp_path):
+    import tessera
+
+    root = f"file://{tmp_path}/c"
+    engine = tessera.connect(spark, root, parent="x/y", parent_delimiter="/", defaults={"enable_stable_row_ids": "true"})
+    engine.sql("CREATE TABLE t AS SELECT 1 AS id")
+    table = engine.catalog.table("t")
+    assert "/c/x/y/" in table.root and table.manifest().stable_row_ids
+    assert rows(engine.sql("SELECT id FROM t FOR VERSION AS OF 2")) == [(1,)]
+    tessera.write(spark.range(3), f"{root}/p", max_row_per_file=1)
+    assert tessera.read(spark, f"{root}/p", where="id > 0").count() == 2
+    bare = tessera.connect(spark)
+    assert rows(bare.sql(f"SELECT count(*) FROM `{root}/p` AS q WHERE q.id < 2")) == [(2,)]
