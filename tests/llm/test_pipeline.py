@@ -108,3 +108,18 @@ def test_op10(spark, rows):
 
 def test_every_operator_is_registered():
     assert [n for n in range(1, 11) if sum(q.startswith(f"op{n}_") for q in queries.QUERIES) != 1] == []
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES, ids=[n for n, _ in corpus_pipeline.STAGES])
+def test_stage_on_messy_rows(spark, docs, nothing, name, stage):
+    out = stage(spark, docs, DATA)
+    ids = {r.doc_id for r in docs.collect()}
+    assert {r.doc_id for r in out.collect()} <= ids
+    if name != "pack":
+        assert out.columns == corpus_pipeline.COLUMNS
+    if name == "near_dedup":
+        kept = [r.doc_id for r in out.collect() if r.doc_id is not None]
+        assert len(kept) == len(set(kept)) and {0, 1, 2, 3} <= set(kept) and 4 not in kept
+    if name == "line_dedup":
+        assert out.count() == docs.count()
+    assert stage(spark, nothing, DATA).count() == 0
