@@ -19,9 +19,9 @@ def _as_column(c: Column | str) -> Column:
     return F.expr(c) if isinstance(c, str) else c
 
 
-def _rows(table: Table, m: Manifest, where: Column | str | None = None) -> DataFrame:
+def _rows(table: Table, m: Manifest, where: Column | str | None = None, fragments: set[int] | None = None) -> DataFrame:
     """Rows with hidden columns and the bytes of blobs; a SQL condition on addresses prunes fragments."""
-    out = table.df(version=m.version, metadata=True, where=where)
+    out = table.df(version=m.version, metadata=True, where=where, fragments=fragments)
     for b in blob_columns(m.struct):
         out = out.drop(b, f"{b}__blob_pos", f"{b}__blob_size").join(table.blobs(b, m.version), "_rowaddr", "left")
     return out.select(*m.struct.names, *HIDDEN)
@@ -64,7 +64,10 @@ def _carried(df: DataFrame) -> DataFrame:
 
 
 def _commit(table: Table, base: Manifest, gone: DataFrame, changed: DataFrame | None, inserted: DataFrame | None, operation: str) -> Manifest:
-    """One version with the deletions, the changed rows (which keep what they carry) and the inserted ones."""
+    """One version with the deletions, the changed rows (which keep what they carry) and the inserted ones.
+
+    Fragments that another commit changed meanwhile are a conflict; see ``Log.publish``.
+    """
     schema = base.struct
     moved = [] if changed is None else table.stage(changed.select(*schema.names, "__rowid", "__created"), schema)
     new = [] if inserted is None else table.stage(inserted.select(*schema.names), schema)
@@ -100,8 +103,6 @@ def _assign(schema, df: DataFrame, values: dict[str, Column | str]) -> DataFrame
 def update(table: Table, values: dict[str, Column | str], where: Column | str | None = None) -> Manifest:
     """Sets columns of the rows for which ``where`` is true. Values see the old row. The rows get new addresses."""
     base = table.manifest()
-    from ..sources.table import CARRIED  # noqa: F401
-
     matched = _rows(table, base, where)
     changed = _assign(base.struct, _carried(matched), values)
     return _commit(table, base, matched.select("_rowaddr"), changed, None, "update")

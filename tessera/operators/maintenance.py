@@ -56,14 +56,12 @@ def optimize(table: Table, options: dict | None = None) -> DataFrame:
     bins = plan_bins(base, target, materialize, float(options.get("materialize_deletions_threshold", 0.1)))
     result = (0, 0, 0, 0)
     if bins:
-        # the bin of a fragment follows from its id by comparison with the bins' first ids: neighbours have neighbouring ids in a run
         taken = {f.id for b in bins for f in b}
-        where = {f.id: k for k, b in enumerate(bins) for f in b}
-        pairs = table.spark.createDataFrame([(i, k) for i, k in where.items()], "_fragid int, __bin int")
-        rows = _rows(table, replace(base), None).join(F.broadcast(pairs), "_fragid")
+        pairs = table.spark.createDataFrame([(f.id, k) for k, b in enumerate(bins) for f in b], "_fragid int, __bin int")
+        rows = _rows(table, base, None, taken).join(F.broadcast(pairs), "_fragid")  # fragments, as the manifest lists them
         rows = rows.withColumns({"__rowid": F.col("_rowid"), "__created": F.col("_row_created_at_version"), "__updated": F.col("_row_last_updated_at_version")})
-        ordered = rows.repartitionByRange(len(bins), "__bin").sortWithinPartitions("__bin", "_rowaddr")
-        staged = table.stage(ordered.select(*base.struct.names, *CARRIED), base.struct)
+        ordered = rows.repartition("__bin").sortWithinPartitions("__bin", "_rowaddr")
+        staged = table.stage(ordered.select(*base.struct.names, *CARRIED, "__bin"), base.struct, by="__bin")
         placed: dict[str, str] = {}
 
         def change(m: Manifest) -> Manifest:

@@ -221,9 +221,9 @@ class Table:
 
     # --- writing
 
-    def _aligned(self, df: DataFrame, schema: T.StructType) -> DataFrame:
+    def _aligned(self, df: DataFrame, schema: T.StructType, by: str | None = None) -> DataFrame:
         """``df`` by name in the table's order and types, missing columns null; vectors of a wrong length raise."""
-        extra = [c for c in df.columns if c not in schema.names and c not in CARRIED]
+        extra = [c for c in df.columns if c not in schema.names and c not in CARRIED and c != by]
         if extra:
             raise InvalidArgument(f"columns that the table lacks: {', '.join(extra)}")
         out = []
@@ -235,20 +235,30 @@ class Table:
             if not f.nullable:
                 c = F.when(c.isNull(), F.raise_error(F.lit(f"column {f.name} must not be null")).cast(f.dataType)).otherwise(c)
             out.append(c.alias(f.name, metadata=f.metadata))
-        return df.select(*out, *[c for c in CARRIED if c in df.columns])
+        return df.select(*out, *[c for c in CARRIED if c in df.columns], *([by] if by else []))
 
-    def stage(self, df: DataFrame, schema: T.StructType, max_rows: int | None = None) -> list[tuple[str, int, int]]:
-        """Writes ``df`` to a staging folder; ``name, rows, bytes`` of the files that have rows."""
+    def stage(self, df: DataFrame, schema: T.StructType, max_rows: int | None = None, by: str | None = None) -> list[tuple[str, int, int]]:
+        """Writes ``df`` to a staging folder; ``path, rows, bytes`` of the files that have rows.
+
+        ``by``: a column of ``df`` beside the table's; each of its values gets files of its own.
+        """
         folder = f"_staging/{uuid.uuid4().hex}"
-        writer = self._aligned(df, schema).write
+        rows = self._aligned(df, schema, by)
+        writer = rows.write
         if max_rows:
             writer = writer.option("maxRecordsPerFile", int(max_rows))
-        writer.parquet(f"{self.root}/{folder}")
-        counted = self.spark.read.parquet(f"{self.root}/{folder}") if any(n.endswith(".parquet") for n, *_ in self.files.list(f"{self.root}/{folder}")) else None
-        if counted is None:
+        (writer.partitionBy(by) if by else writer).parquet(f"{self.root}/{folder}")
+        found = []
+        for name, size, is_folder, _ in self.files.list(f"{self.root}/{folder}"):
+            inside = [(f"{name}/{n}", s) for n, s, *_ in self.files.list(f"{self.root}/{folder}/{name}")] if is_folder else [(name, size)]
+            found += [x for x in inside if x[0].endswith(".parquet")]
+        if not found:
             return []
-        rows = {r[0]: r[1] for r in counted.groupBy(F.col("_metadata.file_name")).agg(F.count(F.lit(1))).collect()}
-        return [(f"{folder}/{n}", rows[n], size) for n, size, *_ in self.files.list(f"{self.root}/{folder}") if rows.get(n)]
+        # a row for each file; footers alone are read
+        last = 2 if by else 1
+        name = F.array_join(F.slice(F.split(F.col("_metadata.file_path"), "/"), -last, last), "/")
+        counted = {r[0]: r[1] for r in self.spark.read.parquet(f"{self.root}/{folder}").groupBy(name).agg(F.count(F.lit(1))).collect()}
+        return [(f"{folder}/{n}", counted[n], size) for n, size in found if counted.get(n)]
 
     def adopt(self, m: Manifest, staged: list[tuple[str, int, int]], moved: bool = False) -> tuple[list[Fragment], Manifest]:
         """Moves staged files to their places as fragments of the version after ``m``."""
