@@ -74,6 +74,12 @@ def _deltas(ascending: np.ndarray) -> np.ndarray:
     return np.diff(ascending, prepend=ascending.dtype.type(0))
 
 
+def _stretches(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the runs of equal values of a non-empty array."""
+    begin = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
+    return begin, np.append(begin[1:], len(a))
+
+
 def chunks(docs: DataFrame, params: LmParams) -> DataFrame:
     """``kind, chunk, n, payload``: of each chunk the vocabulary with its training counts (kind 0, n words), and the
     documents (kind 1, n tokens)."""
@@ -136,15 +142,15 @@ def count_words(table: DataFrame, parts: int) -> DataFrame:
     def split(batches):
         import pyarrow as pa
 
-        edges = (np.arange(1, parts, dtype=np.float64) * (2.0**64 / parts)).astype(np.uint64)
         for batch in batches:
             for chunk, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 deltas, counts = unpack(words)
                 hashes = np.cumsum(deltas, dtype=np.uint64)
-                at = np.concatenate([[0], np.searchsorted(hashes, edges), [len(hashes)]])
-                full = [p for p in range(parts) if at[p] < at[p + 1]]
-                payload = [pack(_deltas(hashes[at[p] : at[p + 1]]), counts[at[p] : at[p + 1]]) for p in full]
-                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([chunk] * len(full), pa.int64()), pa.array(payload, pa.binary())], ["part", "chunk", "payload"])
+                # equal ranges of the upper half of the hash; only those the chunk has words in are looked at
+                part = ((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+                at, end = _stretches(part)
+                payload = [pack(_deltas(hashes[a:b]), counts[a:b]) for a, b in zip(at, end, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(part[at].astype(np.int32)), pa.array(np.full(len(at), chunk, np.int64)), pa.array(payload, pa.binary())], ["part", "chunk", "payload"])
 
     def add(batches):
         import pyarrow as pa
@@ -217,10 +223,10 @@ def _deal(words: list[tuple[int, bytes]], body: bytes, total: int, distinct: int
     ways = (counts[first] // params.shard_tokens + 1).astype(np.uint64)
     shard = (mix(ids[first] * np.uint64(0x9E3779B97F4A7C15) + ids[second] % ways) % np.uint64(shards)).astype(np.int64)
     order = np.argsort(shard, kind="stable")
-    edges = np.searchsorted(shard[order], np.arange(shards + 1))
     out = []
-    for s in np.flatnonzero(edges[1:] > edges[:-1]):
-        e = order[edges[s] : edges[s + 1]]
+    for a, b in zip(*_stretches(shard[order]), strict=True):
+        e = order[a:b]
+        s = shard[e[0]]
         c, w = first[e], second[e]
         lead = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
         size = widths[e]
