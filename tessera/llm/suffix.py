@@ -213,6 +213,10 @@ def _counted(pieces: DataFrame, params: SuffixParams) -> DataFrame:
 
 def coverage(texts: DataFrame, scratch: Scratch, params: SuffixParams) -> DataFrame:
     """``ka, kb, spans``: the covered bytes ``s, e`` of each text that has any, in order; spans may touch and overlap."""
+    # copies of a text repeat all of it; one of them stands for the others from here on
+    copies = cut(texts.groupBy("ka", "kb").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"), F.max(F.octet_length("text")).alias("bytes")).where("n > 1").drop("n"))
+    texts = texts.join(sized(copies.select("ka", "kb", "first")), ["ka", "kb"], "left").where("first is null or id = first").drop("first")
+    whole = copies.select("ka", "kb", F.lit(0).alias("s"), F.col("bytes").alias("e"))
     segs = scratch.save(segments(texts, params), "segments")
     stats = segs.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("ch").alias("c0"), F.max("ch").alias("c1")).where("n > 1").select("h", (F.col("c0") != F.col("c1")).alias("mixed"))
     shared = scratch.save(segs.join(stats.hint("shuffle_hash"), "h"), "shared")
@@ -225,7 +229,7 @@ def coverage(texts: DataFrame, scratch: Scratch, params: SuffixParams) -> DataFr
     groups = scratch.save(contents.groupBy("h").agg(F.min("m").alias("least"), F.sum("len").alias("bytes")).where("least = 1").select("h", "bytes"), "groups")
     pieces = scratch.save(_slices(contents.join(groups.select("h"), "h", "left_semi"), texts), "pieces")
     large = cut(groups.where(F.col("bytes") > params.group_bytes).select("h"))
-    found = [alike, twice]
+    found = [whole, alike, twice]
     if large.isEmpty():
         found.append(_chunked(pieces, params))
     else:
