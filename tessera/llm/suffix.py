@@ -76,11 +76,29 @@ def text_keys(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("ka"), F.xxhash64(F.lit(1), text).alias("kb")]
 
 
-_SEGMENT = "ka long, kb long, id long, h long, ch long, start int, len int"
+_SEGMENT = "ka long, kb long, id long, h long, ch long, start int, len int, times int"
+
+
+def _distinct(h: np.ndarray, ch: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``h, ch, start, len, times`` of a text's distinct segments, and of the runs of bytes that repeated ones cover
+    (times 0)."""
+    order = np.lexsort((start, ch, h))
+    x, y = h[order], ch[order]
+    lead = np.flatnonzero(np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
+    times = np.diff(np.append(lead, len(order)))
+    first = order[lead]
+    again = np.sort(order[np.repeat(times > 1, times)])
+    runs = np.array(merge_spans(list(zip(start[again].tolist(), end[again].tolist(), strict=True))), np.int64).reshape(-1, 2)
+    none = np.zeros(len(runs), np.uint64)
+    return np.append(h[first], none), np.append(ch[first], none), np.append(start[first], runs[:, 0]), np.append(end[first] - start[first], runs[:, 1] - runs[:, 0]), np.append(times, np.zeros(len(runs), np.int64))
 
 
 def segments(texts: DataFrame, params: SuffixParams) -> DataFrame:
-    """``ka, kb, id, h, ch, start, len`` of every segment of ``texts(ka, kb, id, text)``; ch is the hash of its bytes."""
+    """``ka, kb, id, h, ch, start, len, times`` of each distinct segment of each of ``texts(ka, kb, id, text)``.
+
+    ch is the hash of a segment's bytes; it occurs ``times`` in its text. A periodic text would have a segment for each
+    period, so those that a text repeats itself are covered here: rows without h are covered bytes.
+    """
 
     def run(batches):
         import pyarrow as pa
@@ -93,9 +111,9 @@ def segments(texts: DataFrame, params: SuffixParams) -> DataFrame:
                 size = 0
 
                 def flush():
-                    h, ch, s, n = (np.concatenate([p[j] for p in parts]) for j in range(4))
+                    h, ch, s, n, times = (np.concatenate([p[j] for p in parts]) for j in range(5))
                     take = pa.array(np.repeat([i for i, _ in owner], [m for _, m in owner]))
-                    return pa.RecordBatch.from_arrays([*(batch.column(j).take(take) for j in range(3)), pa.array(h.view(np.int64)), pa.array(ch.view(np.int64)), pa.array(s.astype(np.int32)), pa.array(n.astype(np.int32))], ["ka", "kb", "id", "h", "ch", "start", "len"])
+                    return pa.RecordBatch.from_arrays([*(batch.column(j).take(take) for j in range(3)), pa.array(h.view(np.int64), mask=times == 0), pa.array(ch.view(np.int64)), pa.array(s.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(times.astype(np.int32))], ["ka", "kb", "id", "h", "ch", "start", "len", "times"])
 
                 for i, text in enumerate(as_bytes(batch.column(3))):
                     if len(text) < params.least:
@@ -103,9 +121,10 @@ def segments(texts: DataFrame, params: SuffixParams) -> DataFrame:
                     h, a, b = minimiser_runs(text, params, powers)
                     view = memoryview(text)
                     ch = np.fromiter((xxhash.xxh3_64_intdigest(view[s:e]) for s, e in zip(a.tolist(), b.tolist(), strict=True)), np.uint64, len(a))
-                    parts.append((h, ch, a, b - a))
-                    owner.append((i, len(a)))
-                    size += len(a)
+                    part = _distinct(h, ch, a, b)
+                    parts.append(part)
+                    owner.append((i, len(part[0])))
+                    size += len(part[0])
                     if size > 50_000:
                         yield flush()
                         parts, owner, size = [], [], 0
@@ -218,18 +237,20 @@ def coverage(texts: DataFrame, scratch: Scratch, params: SuffixParams) -> DataFr
     texts = texts.join(sized(copies.select("ka", "kb", "first")), ["ka", "kb"], "left").where("first is null or id = first").drop("first")
     whole = copies.select("ka", "kb", F.lit(0).alias("s"), F.col("bytes").alias("e"))
     segs = scratch.save(segments(texts, params), "segments")
-    stats = segs.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("ch").alias("c0"), F.max("ch").alias("c1")).where("n > 1").select("h", (F.col("c0") != F.col("c1")).alias("mixed"))
+    own = scratch.save(segs.where("h is null").select("ka", "kb", F.col("start").alias("s"), (F.col("start") + F.col("len")).alias("e")), "own")
+    segs = segs.where("h is not null")
+    stats = segs.groupBy("h").agg(F.sum("times").alias("n"), F.min("ch").alias("c0"), F.max("ch").alias("c1")).where("n > 1").select("h", (F.col("c0") != F.col("c1")).alias("mixed"))
     shared = scratch.save(segs.join(stats.hint("shuffle_hash"), "h"), "shared")
     scratch.drop("segments")
     alike = shared.where("not mixed").select("ka", "kb", F.col("start").alias("s"), (F.col("start") + F.col("len")).alias("e"))
     mixed = shared.where("mixed")
-    contents = mixed.groupBy("h", "ch").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("ka", "kb", "id", "start", "len")).alias("at"))
+    contents = mixed.groupBy("h", "ch").agg(F.sum("times").alias("m"), F.min(F.struct("ka", "kb", "id", "start", "len")).alias("at"))
     contents = scratch.save(contents.select("h", "ch", "m", "at.*"), "contents")
     twice = mixed.join(contents.where("m > 1").select("h", "ch"), ["h", "ch"], "left_semi").select("ka", "kb", F.col("start").alias("s"), (F.col("start") + F.col("len")).alias("e"))
     groups = scratch.save(contents.groupBy("h").agg(F.min("m").alias("least"), F.sum("len").alias("bytes")).where("least = 1").select("h", "bytes"), "groups")
     pieces = scratch.save(_slices(contents.join(groups.select("h"), "h", "left_semi"), texts), "pieces")
     large = cut(groups.where(F.col("bytes") > params.group_bytes).select("h"))
-    found = [whole, alike, twice]
+    found = [whole, own, alike, twice]
     if large.isEmpty():
         found.append(_chunked(pieces, params))
     else:
@@ -240,7 +261,7 @@ def coverage(texts: DataFrame, scratch: Scratch, params: SuffixParams) -> DataFr
         every = every.union(x)
     # distinct spans of a text: fewer than its bytes, however many copies it has
     cover = scratch.save(every.groupBy("ka", "kb").agg(F.array_sort(F.collect_set(F.struct("s", "e"))).alias("spans")), "cover")
-    for name in ("shared", "contents", "groups", "pieces"):
+    for name in ("own", "shared", "contents", "groups", "pieces"):
         scratch.drop(name)
     return cover
 
