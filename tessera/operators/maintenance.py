@@ -17,11 +17,15 @@ OPTIMIZE_OPTIONS = ("target_rows_per_fragment", "max_rows_per_group", "max_bytes
 VACUUM_OPTIONS = ("before_version", "before_timestamp_millis", "delete_unverified", "error_if_tagged_old_versions")
 
 
-def plan_bins(m: Manifest, target: int, materialize: bool, threshold: float) -> list[list[Fragment]]:
-    """Runs of neighbouring fragments to be written as one: small ones up to ``target`` rows, and any with enough deletions."""
+def plan_bins(m: Manifest, target: int, materialize: bool, threshold: float, max_bytes: float = float("inf")) -> list[list[Fragment]]:
+    """Runs of neighbouring fragments to be written as one: small ones up to ``target`` rows, and any with enough deletions.
+
+    Fragments are joined up to ``max_bytes``, by the bytes of their files and 24 a row for the hidden columns that moved
+    rows carry. One fragment is never split, and columns beside it are not counted.
+    """
     bins: list[list[Fragment]] = []
     run: list[Fragment] = []
-    rows = 0
+    rows = size = 0
 
     def close() -> None:
         if len(run) > 1 or run and materialize and run[0].deleted and run[0].deleted >= threshold * run[0].rows:
@@ -30,12 +34,14 @@ def plan_bins(m: Manifest, target: int, materialize: bool, threshold: float) ->
     for f in m.fragments:
         live = f.rows - f.deleted
         candidate = live < target or materialize and f.deleted and f.deleted >= threshold * f.rows
-        if not candidate or run and rows + live > target:
+        held = f.bytes + (0 if f.moved else 24 * live)
+        if not candidate or run and (rows + live > target or size + held > max_bytes):
             close()
-            run, rows = [], 0
+            run, rows, size = [], 0, 0
         if candidate:
             run.append(f)
             rows += live
+            size += held
     close()
     return bins
 
@@ -53,7 +59,7 @@ def optimize(table: Table, options: dict | None = None) -> DataFrame:
     target = int(options.get("target_rows_per_fragment", 1_048_576))
     materialize = str(options.get("materialize_deletions", "true")).lower() == "true"
     base = table.manifest()
-    bins = plan_bins(base, target, materialize, float(options.get("materialize_deletions_threshold", 0.1)))
+    bins = plan_bins(base, target, materialize, float(options.get("materialize_deletions_threshold", 0.1)), float(options.get("max_bytes_per_file", "inf")))
     result = (0, 0, 0, 0)
     if bins:
         taken = {f.id for b in bins for f in b}
