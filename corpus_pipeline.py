@@ -27,20 +27,34 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, that with the smallest id; one row of repeated rows.
+    """One document of each group of near-duplicates stays, that with the smallest id; one row of those of one id and text.
 
     Near-duplicates share 80 % of their runs of five words; the two words of op1 are looser.
     """
+    again = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    if not again.isEmpty():
+        return _near_dedup_repeated(docs, cut(again))
     found = minhash.near_duplicates(docs, NEAR)
     # ids that go: as a rule far fewer than stay
     gone = cut(found.where("not kept").select("doc_id").distinct())
-    rows = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null").select("doc_id")
-    left = docs.join(sized(gone), "doc_id", "left_anti")
-    if rows.isEmpty():
-        return left.select(*COLUMNS)
-    rows = cut(rows)
-    once = left.join(sized(rows), "doc_id", "left_anti").select(*COLUMNS)
-    return once.union(left.join(sized(rows), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS))
+    return docs.join(sized(gone), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def _near_dedup_repeated(docs: DataFrame, again: DataFrame) -> DataFrame:
+    """For ids that are not unique, those in ``again``: each text of an id is a document of its own, under a hash as key.
+
+    Of rows of one id and text the first by the other columns stays; of a group's documents the first by id, then key.
+    """
+    again = sized(again)
+    rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    texts = docs.join(again, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(*rest)).alias("x")).select("doc_id", "text", "x.*")
+    texts = texts.select(F.xxhash64("doc_id", "text").alias("key"), *COLUMNS)
+    keyed = docs.join(again, "doc_id", "left_anti").select(F.col("doc_id").cast("long").alias("key"), *COLUMNS).union(texts)
+    found = minhash.near_duplicates(keyed.select(F.col("key").alias("doc_id"), "text"), NEAR).where("doc_id is not null").select(F.col("doc_id").alias("key"), "component_id")
+    found = found.join(texts.select("key", F.col("doc_id").cast("long").alias("id")), "key", "left")
+    firsts = found.groupBy("component_id").agg(F.min(F.struct(F.coalesce("id", "key").alias("id"), "key"))["key"].alias("first"))
+    gone = cut(found.join(firsts, "component_id").where("key <> first").select("key"))
+    return keyed.join(sized(gone), "key", "left_anti").select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

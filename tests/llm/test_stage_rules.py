@@ -36,3 +36,16 @@ def test_near_dedup_takes_five_words(spark, monkeypatch):
 
 def test_near_dedup_against_all_pairs(spark, monkeypatch):
     check_near_dedup(spark, spark.read.parquet(f"{DATA}/documents.parquet"), monkeypatch)
+
+
+def test_near_dedup_tells_texts_of_one_id_apart(spark):
+    """An id's texts stay or go each for itself; of equal rows the first by the other columns stays, however rows are dealt."""
+    rng = random.Random(12)
+    a, b, c, d, e, f = (" ".join(words(rng, 60, 5000)) for _ in range(6))
+    rows = [(3, b, "en", "s"), (5, a, "en", "s"), (5, b, "en", "s"), (7, c, "en", "s"), (7, c, "de", "s"), (7, c, "fr", "s"), (8, d, "en", "s"), (8, e, "en", "s"), (9, f, "en", "s"), (9, f + " x", "en", "s"), (2, e, "en", "s"), (None, a, "en", "s")]
+    for parts in (1, 5):
+        docs = make(spark, rows, extra=False).repartition(parts)
+        out = [(r.doc_id, r.text, r.lang) for r in corpus_pipeline.near_dedup(spark, docs, DATA).collect()]
+        nine = [x for x in out if x[0] == 9]
+        assert len(nine) == 1 and nine[0][1].startswith(f)
+        assert sorted((x for x in out if x[0] != 9), key=repr) == sorted([(2, e, "en"), (3, b, "en"), (5, a, "en"), (7, c, "de"), (8, d, "en"), (None, a, "en")], key=repr)
