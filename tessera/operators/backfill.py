@@ -31,7 +31,8 @@ def _write(table: Table, source: DataFrame, columns: list[str]) -> SideFile | No
     if not touched:
         table.files.delete(f"{table.root}/{path}")
         return None
-    return SideFile(path, tuple(columns), tuple(sorted(touched)))
+    size = sum(n for name, n, *_ in table.files.list(f"{table.root}/{path}") if name.endswith(".parquet"))
+    return SideFile(path, tuple(columns), tuple(sorted(touched)), size)
 
 
 def add_columns(table: Table, columns: list[str], source: DataFrame) -> Manifest:
@@ -57,4 +58,9 @@ def update_columns(table: Table, columns: list[str], source: DataFrame) -> Manif
     side = _write(table, source, columns)
     if side is None:
         return base
-    return table.log.publish(base, lambda m: replace(m, sides=(*m.sides, side), operation="update_columns"), frozenset(side.fragments))
+
+    def change(m: Manifest) -> Manifest:  # an index of these columns knows the touched fragments no more
+        indexes = tuple(replace(i, fragments=tuple(f for f in i.fragments if f not in side.fragments)) if set(i.columns) & set(columns) else i for i in m.indexes)
+        return replace(m, sides=(*m.sides, side), indexes=indexes, operation="update_columns")
+
+    return table.log.publish(base, change, frozenset(side.fragments))

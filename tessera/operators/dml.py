@@ -12,16 +12,16 @@ from ..errors import InvalidArgument
 from ..functions.kinds import blob_columns
 from ..functions.scalar import fragment_of, fragment_or_rand
 from ..sources.manifest import Manifest
-from ..sources.table import HIDDEN, Table
+from ..sources.table import HIDDEN, Table, named
 
 
 def _as_column(c: Column | str) -> Column:
     return F.expr(c) if isinstance(c, str) else c
 
 
-def _rows(table: Table, m: Manifest, where: Column | str | None = None, fragments: set[int] | None = None) -> DataFrame:
+def _rows(table: Table, m: Manifest, where: Column | str | None = None, fragments: set[int] | None = None, alias: str | list[str] | None = None) -> DataFrame:
     """Rows with hidden columns and the bytes of blobs; a SQL condition on addresses prunes fragments."""
-    out = table.df(version=m.version, metadata=True, where=where, fragments=fragments)
+    out = table.df(version=m.version, metadata=True, where=where, fragments=fragments, alias=alias)
     for b in blob_columns(m.struct):
         out = out.drop(b, f"{b}__blob_pos", f"{b}__blob_size").join(table.blobs(b, m.version), "_rowaddr", "left")
     return out.select(*m.struct.names, *HIDDEN)
@@ -46,12 +46,13 @@ def without(m: Manifest, path: str, counts: dict[int, int]) -> Manifest:
     return replace(m, fragments=live, deletions=tuple((p, t) for p, t in deletions if ids & set(t)))
 
 
-def delete(table: Table, where: Column | str | None = None) -> Manifest:
-    """Deletes the rows for which ``where`` is true; all without it. Nothing to delete is no commit."""
+def delete(table: Table, where: Column | str | None = None, alias: str | list[str] | None = None) -> Manifest:
+    """Deletes the rows for which ``where`` is true; all without it. Nothing to delete is no commit. ``alias``: the name by
+    which the condition speaks of the table."""
     base = table.manifest()
     if where is None:
         return table.log.publish(base, lambda m: replace(m, fragments=(), deletions=(), sides=(), operation="delete"), frozenset(f.id for f in base.fragments))
-    path, counts = write_deletions(table, table.df(version=base.version, metadata=True, where=where).select("_rowaddr"))
+    path, counts = write_deletions(table, table.df(version=base.version, metadata=True, where=where, alias=alias).select("_rowaddr"))
     if not counts:
         table.files.delete(f"{table.root}/{path}")
         return base
@@ -100,11 +101,12 @@ def _assign(schema, df: DataFrame, values: dict[str, Column | str]) -> DataFrame
     return df.withColumns(whole)
 
 
-def update(table: Table, values: dict[str, Column | str], where: Column | str | None = None) -> Manifest:
+def update(table: Table, values: dict[str, Column | str], where: Column | str | None = None, alias: str | list[str] | None = None) -> Manifest:
     """Sets columns of the rows for which ``where`` is true. Values see the old row. The rows get new addresses."""
     base = table.manifest()
-    matched = _rows(table, base, where)
-    changed = _assign(base.struct, _carried(matched), values)
+    matched = _rows(table, base, where, alias=alias)
+    old = _carried(matched)
+    changed = _assign(base.struct, named(old, alias), values)
     return _commit(table, base, matched.select("_rowaddr"), changed, None, "update")
 
 
@@ -123,16 +125,26 @@ def merge(table: Table, source: DataFrame, on: str, clauses: list[When], target:
     """MERGE INTO: for each pair the first clause whose condition is true applies; all in one commit.
 
     Keys that are null match nothing. A target row that two source rows would change raises. The source is written out
-    once, so that it need not be deterministic.
+    once, so that it need not be deterministic, and what is written on the way is deleted, also where it raises.
     """
     base = table.manifest()
-    schema = base.struct
-    keep = f"{table.root}/_staging/{uuid.uuid4().hex}"
-    source.write.parquet(keep)
-    s = table.spark.read.schema(source.schema).parquet(keep)
+    staging = f"{table.root}/_staging/{uuid.uuid4().hex}"
+    try:
+        return _merge(table, base, source, on, clauses, target, alias, staging)
+    finally:
+        table.files.delete(staging)
+
+
+def _merge(table: Table, base: Manifest, source: DataFrame, on: str, clauses: list[When], target: str, alias: str, staging: str) -> Manifest:
+    schema, spark = base.struct, table.spark
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{staging}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{staging}/{name}")
+
+    s = kept(source.select(F.struct(*source.columns).alias(alias), F.monotonically_increasing_id().alias("__sid")), "source")
     rows = _rows(table, base)
-    t = rows.select(F.struct(*rows.columns).alias(target), F.lit(True).alias("__t"))
-    s = s.select(F.struct(*s.columns).alias(alias), F.monotonically_increasing_id().alias("__sid"))
+    t = rows.select(F.struct(*rows.columns).alias(target))
     matched_clauses = [(i, c) for i, c in enumerate(clauses) if c.matched]
     insert_clauses = [(i, c) for i, c in enumerate(clauses) if not c.matched]
 
@@ -143,37 +155,41 @@ def merge(table: Table, source: DataFrame, on: str, clauses: list[When], target:
             out = F.when(F.coalesce(ok, F.lit(False)), F.lit(i)).otherwise(out)
         return out
 
-    condition = F.expr(on)
-    inserted = None
+    # the target is joined once: pairs are written out, and source rows of no pair are those to insert
+    pairs = t.join(s, F.expr(on), "inner").withColumn("__c", chosen(matched_clauses))
+    if not insert_clauses:
+        pairs = pairs.where("__c is not null")
+    elif not matched_clauses:
+        pairs = pairs.select("__sid", "__c")
+    pairs = kept(pairs, "pairs")
+    inserted = changed = None
     if insert_clauses:
-        alone = s.join(t, condition, "left_anti").withColumn("__c", chosen(insert_clauses)).where("__c is not null")
+        alone = s.join(pairs.select("__sid").distinct(), "__sid", "left_anti").withColumn("__c", chosen(insert_clauses)).where("__c is not null")
         for i, c in insert_clauses:
             values = c.values or {n: f"{alias}.`{n}`" for n in source.columns if n in schema.names}
             part = alone.where(F.col("__c") == i).select(*[(F.expr(values[n]) if n in values else F.lit(None)).cast(schema[n].dataType).alias(n) for n in schema.names])
             inserted = part if inserted is None else inserted.unionByName(part)
-    hit = t.join(s, condition, "inner").withColumn("__c", chosen(matched_clauses)).where("__c is not null") if matched_clauses else None
-    if hit is None:
-        gone, changed = rows.where("false").select("_rowaddr"), None
+    if not matched_clauses:
+        gone = rows.where("false").select("_rowaddr")
     else:
-        folder = f"{table.root}/_staging/{uuid.uuid4().hex}"
-        hit.write.parquet(folder)
-        hit = table.spark.read.schema(hit.schema).parquet(folder)
+        hit = pairs.where("__c is not null")
         twice = hit.groupBy(F.col(f"{target}._rowaddr").alias("a")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         if not twice.isEmpty():
             raise InvalidArgument("a target row matches more than one source row")
         gone = hit.select(F.col(f"{target}._rowaddr").alias("_rowaddr"))
-        changed = None
         for i, c in matched_clauses:
             if c.action == "delete":
                 continue
             values = c.values or {n: f"{alias}.`{n}`" for n in source.columns if n in schema.names}
-            part = hit.where(F.col("__c") == i)
-            cols = [(F.expr(values[n]).cast(schema[n].dataType) if n in values else F.col(f"{target}.`{n}`")).alias(n) for n in schema.names]
-            part = part.select(*cols, F.col(f"{target}._rowid").alias("__rowid"), F.col(f"{target}._row_created_at_version").alias("__created"))
+            cols = {n: F.col(f"{target}.`{n}`") for n in schema.names}
+            for name, value in values.items():
+                top, _, rest = name.partition(".")
+                if top not in cols:
+                    raise InvalidArgument(f"no column {name}")
+                cols[top] = cols[top].withField(rest, F.expr(value)) if rest else F.expr(value).cast(schema[top].dataType)
+            part = hit.where(F.col("__c") == i).select(*[x.alias(n) for n, x in cols.items()], F.col(f"{target}._rowid").alias("__rowid"), F.col(f"{target}._row_created_at_version").alias("__created"))
             changed = part if changed is None else changed.unionByName(part)
-    out = _commit(table, base, gone, changed, inserted, "merge")
-    table.files.delete(keep)
-    return out
+    return _commit(table, base, gone, changed, inserted, "merge")
 
 
 def clustered(changes: DataFrame) -> DataFrame:

@@ -60,7 +60,7 @@ def create_index(table: Table, name: str, method: str, columns: list[str], optio
     """Builds an index over all present fragments, and replaces one of the name: ``fragments_indexed, index_name``.
 
     btree: per zone of ``zone_size`` rows the least and greatest value and the nulls of the column, one grouped pass.
-    fts: ``token, _rowaddr, n, places``, written by token, so that a search reads few files' row groups.
+    fts: ``token, _rowaddr, n, places``, in ranges of token and address, so that a search reads few files' row groups.
     """
     method = method.lower()
     if method not in METHODS:
@@ -90,7 +90,8 @@ def create_index(table: Table, name: str, method: str, columns: list[str], optio
             raise InvalidArgument(f"{columns[0]} is no text")
         listed = rows.select("_rowaddr", F.posexplode(tokens(F.col(columns[0]), options)).alias("place", "token"))
         lists = listed.groupBy("token", "_rowaddr").agg(F.count(F.lit(1)).alias("n"), *([F.sort_array(F.collect_list("place")).alias("places")] if options["with_position"] else []))
-        lists.repartition("token").sortWithinPartitions("token", "_rowaddr").write.parquet(f"{table.root}/{path}")
+        # by token and address: the rows of a common word are split over tasks
+        lists.repartitionByRange("token", "_rowaddr").sortWithinPartitions("token", "_rowaddr").write.parquet(f"{table.root}/{path}")
     made = Index(name, method, tuple(columns), options, path, tuple(f.id for f in m.fragments))
     table.log.publish(m, lambda x: replace(x, indexes=(*[i for i in x.indexes if i.name != name], made), operation="create_index"))
     return table.spark.createDataFrame([(len(made.fragments), name)], out)
@@ -120,6 +121,34 @@ def _index(table: Table, m, column: str, method: str) -> Index | None:
     return next((i for i in m.indexes if i.method == method and column in i.columns), None)
 
 
+def zoned(table: Table, m, where: str) -> set[int] | None:
+    """Fragments that can have rows for which a SQL condition holds, by the zone maps of its columns; None: any."""
+    from ..plans.prune import bounds_of
+
+    mapped = {c.lower(): (i, c) for i in m.indexes if i.method == "btree" for c in i.columns}
+    if not any(c in where.lower() for c in mapped):
+        return None
+    own = {n.lower() for n in m.struct.names}
+    kept = None
+    for name, wanted in bounds_of(table.spark, where).items():
+        if name[-1] not in mapped or len(name) > 2 or len(name) == 2 and name[0] in own:  # a field of a struct
+            continue
+        index, column = mapped[name[-1]]
+        if isinstance(m.struct[column].dataType, T.StringType):  # other literals compare in another order
+            wanted = [x for x in wanted if x[1].startswith("'")]
+        zones = table.spark.read.parquet(f"{table.root}/{index.path}")
+        for op, literal in wanted:
+            if op in ("=", "<", "<="):
+                zones = zones.where(F.expr(f"`min_{column}` {'<=' if op == '=' else op} {literal}"))
+            if op in ("=", ">", ">="):
+                zones = zones.where(F.expr(f"`max_{column}` {'>=' if op == '=' else op} {literal}"))
+        found = {r[0] for r in zones.select("fragment").distinct().collect()}  # fragments, not rows
+        covered = set(index.fragments)
+        ids = {f.id for f in m.fragments if f.id in found or f.id not in covered}
+        kept = ids if kept is None else kept & ids
+    return kept
+
+
 def lookup(table: Table, column: str, low=None, high=None, metadata: bool = False) -> DataFrame:
     """Rows with ``low <= column <= high`` (a bound that is None is open).
 

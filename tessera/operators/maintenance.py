@@ -18,22 +18,24 @@ VACUUM_OPTIONS = ("before_version", "before_timestamp_millis", "delete_unverifie
 
 
 def plan_bins(m: Manifest, target: int, materialize: bool, threshold: float, max_bytes: float = float("inf")) -> list[list[Fragment]]:
-    """Runs of neighbouring fragments to be written as one: small ones up to ``target`` rows, and any with enough deletions.
+    """Runs of neighbouring fragments to be written as one: small ones up to ``target`` rows, and any with enough deletions
+    or with columns beside it.
 
     Fragments are joined up to ``max_bytes``, by the bytes of their files and 24 a row for the hidden columns that moved
     rows carry. One fragment is never split, and columns beside it are not counted.
     """
+    beside = {i for s in m.sides for i in s.fragments}
     bins: list[list[Fragment]] = []
     run: list[Fragment] = []
     rows = size = 0
 
     def close() -> None:
-        if len(run) > 1 or run and materialize and run[0].deleted and run[0].deleted >= threshold * run[0].rows:
+        if len(run) > 1 or run and (run[0].id in beside or materialize and run[0].deleted and run[0].deleted >= threshold * run[0].rows):
             bins.append(list(run))
 
     for f in m.fragments:
         live = f.rows - f.deleted
-        candidate = live < target or materialize and f.deleted and f.deleted >= threshold * f.rows
+        candidate = live < target or f.id in beside or materialize and f.deleted and f.deleted >= threshold * f.rows
         held = f.bytes + (0 if f.moved else 24 * live)
         if not candidate or run and (rows + live > target or size + held > max_bytes):
             close()

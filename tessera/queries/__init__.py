@@ -37,4 +37,4 @@ def query(sql: str | None = None):
 
 
 def load() -> None:
-    from . import relational, storage, streams  # noqa: F401
+    from . import lifecycle, relational, storage, streams  # noqa: F401

@@ -7,6 +7,7 @@ Parquet reader and is what the engine itself uses. Tables with columns beside th
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -16,6 +17,7 @@ from pyspark.sql.types import StructType
 def _open(uri: str):
     from pyarrow import fs
 
+    uri = re.sub(r"^s3[an]:", "s3:", uri)  # Hadoop's names of the same store
     return fs.FileSystem.from_uri(uri) if ":/" in uri else (fs.LocalFileSystem(), uri)
 
 

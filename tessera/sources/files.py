@@ -72,7 +72,10 @@ class Files:
         except Exception:  # py4j wraps FileAlreadyExistsException
             fs.delete(temporary, False)
             return False
-        done = fs.rename(temporary, target)
+        # the last holder of the claim may have finished between the first look and the claim: a rename may overwrite
+        done = not fs.exists(target) and fs.rename(temporary, target)
+        if not done:
+            fs.delete(temporary, False)
         fs.delete(claim, False)
         return done
 

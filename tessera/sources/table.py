@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..errors import InvalidArgument, NoSuchTable, TableAlreadyExists
 from ..functions.kinds import apply_properties, blob_columns, check_storable, vector_size
-from ..functions.scalar import address
+from ..functions.scalar import address, fragment_of
 from .files import Files
 from .manifest import Fragment, Log, Manifest
 
@@ -23,11 +23,34 @@ HIDDEN = ("_rowid", "_rowaddr", "_row_last_updated_at_version", "_row_created_at
 CARRIED = {"__rowid": "bigint", "__created": "bigint", "__updated": "bigint"}
 #: Deleted addresses are broadcast up to this many, as the manifest counts them.
 BROADCAST_DELETES = 1_000_000
+#: Columns beside fragments are broadcast if their files have at most so many bytes; larger ones are joined by a shuffle.
+BROADCAST_SIDE = 4 << 20
 
 
 def nullable(schema: T.StructType) -> T.StructType:
-    """A table made from rows takes nulls in every column, whatever its first rows were."""
-    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
+    """A table made from rows takes nulls in every column and in all that is nested, whatever its first rows were."""
+
+    def wide(t: T.DataType) -> T.DataType:
+        if isinstance(t, T.StructType):
+            return T.StructType([T.StructField(f.name, wide(f.dataType), True, f.metadata) for f in t.fields])
+        if isinstance(t, T.ArrayType):
+            return T.ArrayType(wide(t.elementType), True)
+        if isinstance(t, T.MapType):
+            return T.MapType(wide(t.keyType), wide(t.valueType), True)
+        return t
+
+    return wide(schema)
+
+
+def named(df: DataFrame, alias: str | list[str] | None) -> DataFrame:
+    """``df`` under an alias. Further names are structs of its columns, so that Spark resolves those too; a column of the
+    same name goes before them."""
+    names = [alias] if isinstance(alias, str) else list(alias or ())
+    columns = df.columns
+    for n in names[1:]:
+        if n.lower() not in map(str.lower, columns):
+            df = df.withColumn(n, F.struct(*[F.col(f"`{c}`") for c in columns]))
+    return df.alias(names[0]) if names else df
 
 
 class Table:
@@ -92,19 +115,32 @@ class Table:
 
     # --- reading
 
-    def df(self, version: int | None = None, timestamp: int | str | None = None, metadata: bool = False, where: Column | str | None = None, columns: Iterable[str] | None = None, fragments: Iterable[int] | None = None, options: dict | None = None) -> DataFrame:
+    def df(self, version: int | None = None, timestamp: int | str | None = None, metadata: bool = False, where: Column | str | None = None, columns: Iterable[str] | None = None, fragments: Iterable[int] | None = None, options: dict | None = None, alias: str | list[str] | None = None, without: Iterable[str] = ()) -> DataFrame:
         """A snapshot. ``metadata`` adds the hidden columns; ``fragments`` keeps only those; options may name a version
-        or ``nearest`` (JSON), others are accepted and have no meaning here."""
+        or ``nearest`` (JSON), others are accepted and have no meaning here.
+
+        A condition in SQL is looked through for addresses and for ranges of columns that have a zone map: fragments that
+        it rules out are not read. ``alias``: the name, or names, by which it speaks of the table. ``without``: columns that nobody
+        asks for; what stands beside the fragments for them alone is not read.
+        """
         options = {k.lower(): v for k, v in (options or {}).items()}
         m = self.manifest(options.get("version", version), timestamp)
         wanted = None if fragments is None else set(fragments)
         if wanted is None and isinstance(where, str):
+            from ..operators.indexes import zoned
             from ..plans.prune import fragments_of
 
             wanted = fragments_of(where)
-        out = self._snapshot(m, metadata or isinstance(where, str) and any(h in where for h in HIDDEN), wanted, columns)
+            zones = zoned(self, m, where)
+            wanted = zones if wanted is None else wanted if zones is None else wanted & zones
+        without = set(without)
+        if without and columns is None:
+            kept = [c for c in m.struct.names if c not in without]
+            out = self._snapshot(m, metadata, wanted, kept).drop(*without)
+            return out if where is None else out.where(where)
+        out = self._snapshot(m, metadata or isinstance(where, str) and any(h in where for h in HIDDEN), wanted, None if where is not None else columns)
         if where is not None:
-            out = out.where(where)
+            out = named(out, alias).where(where)
         if "nearest" in options:
             from ..operators.vector import nearest
 
@@ -173,8 +209,10 @@ class Table:
 
     def _undeleted(self, m: Manifest, rows: DataFrame, gone: list[Fragment]) -> DataFrame:
         ids = {f.id for f in gone}
-        paths = [f"{self.root}/{p}" for p, touched in m.deletions if ids & set(touched)]
-        dead = self.spark.read.schema("_rowaddr bigint").parquet(*paths)
+        folders = [(p, set(touched)) for p, touched in m.deletions if ids & set(touched)]
+        dead = self.spark.read.schema("_rowaddr bigint").parquet(*[f"{self.root}/{p}" for p, _ in folders])
+        if any(touched - ids for _, touched in folders):  # so that the manifest's counts hold for what is broadcast
+            dead = dead.where(fragment_of("_rowaddr").isin(sorted(ids)))
         if sum(f.deleted for f in gone) <= BROADCAST_DELETES:
             dead = F.broadcast(dead)
         return rows.join(dead, "_rowaddr", "left_anti")
@@ -183,6 +221,8 @@ class Table:
         """Columns of a side file over those the rows have; a row it lacks keeps its own value, or null."""
         kinds = ", ".join(f"`{c}` {schema[c].dataType.simpleString()}" for c in side.columns)
         new = self.spark.read.schema(f"_rowaddr bigint, {kinds}").parquet(f"{self.root}/{side.path}")
+        if 0 <= side.bytes <= BROADCAST_SIDE:
+            new = F.broadcast(new)
         new = new.select("_rowaddr", F.lit(True).alias("__has"), *[F.col(c).alias(f"__new_{c}") for c in side.columns])
         out = rows.join(new, "_rowaddr", "left")
         for c in side.columns:
@@ -237,13 +277,27 @@ class Table:
             out.append(c.alias(f.name, metadata=f.metadata))
         return df.select(*out, *[c for c in CARRIED if c in df.columns], *([by] if by else []))
 
-    def stage(self, df: DataFrame, schema: T.StructType, max_rows: int | None = None, by: str | None = None) -> list[tuple[str, int, int]]:
+    def stage(self, df: DataFrame, schema: T.StructType, max_rows: int | None = None, by: str | None = None, max_bytes: int | None = None) -> list[tuple[str, int, int]]:
         """Writes ``df`` to a staging folder; ``path, rows, bytes`` of the files that have rows.
 
-        ``by``: a column of ``df`` beside the table's; each of its values gets files of its own.
+        ``by``: a column of ``df`` beside the table's; each of its values gets files of its own. Files of more than
+        ``max_bytes`` are written again in fewer rows, down to files of one row.
         """
+        return self._within(self._stage(self._aligned(df, schema, by), max_rows, by), max_bytes)
+
+    def _within(self, staged: list[tuple[str, int, int]], max_bytes: int | None) -> list[tuple[str, int, int]]:
+        large = [x for x in staged if max_bytes and x[2] > max_bytes and x[1] > 1]
+        if not large:
+            return staged
+        most = max(1, min(int(0.8 * rows * max_bytes / size) for _, rows, size in large))
+        again = self.spark.read.parquet(*[f"{self.root}/{path}" for path, *_ in large])
+        out = self._stage(again, min(most, max(rows for _, rows, _ in large) - 1))
+        for path, *_ in large:
+            self.files.delete(f"{self.root}/{path}")
+        return [x for x in staged if x not in large] + self._within(out, max_bytes)
+
+    def _stage(self, rows: DataFrame, max_rows: int | None, by: str | None = None) -> list[tuple[str, int, int]]:
         folder = f"_staging/{uuid.uuid4().hex}"
-        rows = self._aligned(df, schema, by)
         writer = rows.write
         if max_rows:
             writer = writer.option("maxRecordsPerFile", int(max_rows))
@@ -275,9 +329,15 @@ class Table:
                 row_id += rows
         return out, replace(m, next_fragment=number, next_row_id=row_id)
 
-    def _append(self, df: DataFrame, overwrite: bool, schema: T.StructType | None, properties: dict | None, max_rows: int | None, operation: str) -> Manifest:
+    def _append(self, df: DataFrame, overwrite: bool, schema: T.StructType | None, properties: dict | None, max_rows: int | None, operation: str, max_bytes: int | None = None) -> Manifest:
         base = self.log.latest()
-        staged = self.stage(df, schema or base.struct, max_rows)
+        return self._publish(base, self.stage(df, schema or base.struct, max_rows, max_bytes=max_bytes), overwrite, schema, properties, operation)
+
+    def add(self, staged: list[tuple[str, int, int]]) -> Manifest:
+        """Appends files that ``stage`` wrote."""
+        return self._publish(self.log.latest(), staged, False, None, None, "append")
+
+    def _publish(self, base: Manifest, staged: list[tuple[str, int, int]], overwrite: bool, schema: T.StructType | None, properties: dict | None, operation: str) -> Manifest:
         placed: dict[str, str] = {}
 
         def change(m: Manifest) -> Manifest:
@@ -292,12 +352,12 @@ class Table:
 
         return self.log.publish(base, change, rebase=not overwrite)
 
-    def append(self, df: DataFrame, max_rows_per_file: int | None = None) -> Manifest:
-        return self._append(df, False, None, None, max_rows_per_file, "append")
+    def append(self, df: DataFrame, max_rows_per_file: int | None = None, max_bytes_per_file: int | None = None) -> Manifest:
+        return self._append(df, False, None, None, max_rows_per_file, "append", max_bytes_per_file)
 
-    def overwrite(self, df: DataFrame, max_rows_per_file: int | None = None) -> Manifest:
+    def overwrite(self, df: DataFrame, max_rows_per_file: int | None = None, max_bytes_per_file: int | None = None) -> Manifest:
         """Replaces all rows; the schema stays."""
-        return self._append(df, True, None, None, max_rows_per_file, "overwrite")
+        return self._append(df, True, None, None, max_rows_per_file, "overwrite", max_bytes_per_file)
 
     def replace_with(self, df: DataFrame, properties: dict[str, str] | None = None) -> Manifest:
         """Replaces rows and schema in one commit."""
@@ -310,25 +370,35 @@ class Table:
 def write(df: DataFrame, path: str, mode: str = "error", properties: dict[str, str] | None = None, options: dict | None = None) -> Table:
     """Writes ``df`` to the table at ``path``. Modes: error, append, overwrite, ignore, create_or_replace.
 
-    Options: ``max_row_per_file`` bounds the rows of a fragment; names of buffers and formats are accepted, unused.
+    Options: ``max_row_per_file`` bounds the rows of a fragment and ``max_bytes_per_file`` its bytes, as far as more than
+    one row is in it; names of buffers and formats are accepted, unused.
     """
     options = {k.lower(): v for k, v in (options or {}).items()}
     if int(options.get("batch_size", 8192)) <= 0:
         raise InvalidArgument("batch_size must be positive")
     most = options.get("max_row_per_file")
+    size = int(options["max_bytes_per_file"]) if options.get("max_bytes_per_file") else None
     table = Table(df.sparkSession, path)
     there = table.log.exists()
     if mode == "append":
         if not there:
             raise NoSuchTable(path)
-        table.append(df, most)
+        table.append(df, most, size)
     elif there and mode == "error":
         raise TableAlreadyExists(path)
     elif there and mode == "overwrite":
-        table.overwrite(df, most)
+        table.overwrite(df, most, size)
     elif there and mode == "create_or_replace":
         table.replace_with(df, properties)
     elif not (there and mode == "ignore"):
+        schema = apply_properties(nullable(df.schema), {k: str(v) for k, v in (properties or {}).items()})
+        check_storable(schema)
+        try:  # the rows are written before the table is there: a query that fails leaves none behind
+            staged = table.stage(df, schema, most, max_bytes=size)
+        except Exception:
+            if not table.log.exists():
+                table.files.delete(f"{table.root}/_staging")
+            raise
         table = Table.create(df.sparkSession, path, nullable(df.schema), properties)
-        table.append(df, most)
+        table.add(staged)
     return table

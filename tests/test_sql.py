@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 import pytest
 
 from tessera.errors import InvalidArgument, NamespaceAlreadyExists, NamespaceNotEmpty, NoSuchNamespace, NoSuchTable, ParseError, TableAlreadyExists, Unsupported
@@ -146,3 +148,31 @@ def test_connect_and_parent(spark, tmp_path):
     assert tessera.read(spark, f"{root}/p", where="id > 0").count() == 2
     bare = tessera.connect(spark)
     assert rows(bare.sql(f"SELECT count(*) FROM `{root}/p` AS q WHERE q.id < 2")) == [(2,)]
+
+
+def test_text_that_looks_like_sql(engine):
+    engine.sql("CREATE TABLE d AS SELECT * FROM VALUES (1, 't.x'), (2, 'x'), (3, 'd.x'), (4, 'it''s') AS v(id, name) /* FROM nowhere; */")
+    engine.sql("DELETE FROM d WHERE name = 'd.x'")
+    assert rows(engine.sql("SELECT name FROM d")) == [("it's",), ("t.x",), ("x",)]
+    engine.sql(r"UPDATE d SET name = 'a\', d.name = WHERE' WHERE d.id = 2")
+    assert rows(engine.sql("SELECT name FROM d WHERE id = 2")) == [("a', d.name = WHERE",)]
+    engine.sql("MERGE INTO d USING (SELECT 4 AS id, 'WHEN MATCHED THEN DELETE' AS name WHERE 4 IN (1, 4)) AS s ON d.id = s.id AND s.name <> 'ON (' WHEN MATCHED THEN UPDATE SET name = s.name")
+    assert rows(engine.sql("SELECT name FROM d WHERE id = 4")) == [("WHEN MATCHED THEN DELETE",)]
+
+
+def test_nested_columns(engine):
+    engine.sql("CREATE TABLE n (id INT, at STRUCT<city: STRING, country: STRING>, m MAP<STRING, INT>, p DECIMAL(10, 2))")
+    engine.sql("INSERT INTO n VALUES (1, named_struct('city', 'a', 'country', 'b'), map('k', 1), 2.5)")
+    engine.sql("UPDATE n AS x SET x.at.city = concat(x.at.city, n.at.country) WHERE x.id = 1")
+    assert rows(engine.sql("SELECT at.city, m['k'], p FROM n")) == [("ab", 1, Decimal("2.50"))]
+    with pytest.raises(ParseError):
+        engine.sql("CREATE TABLE bad (id INT, STRUCT<a>)")
+
+
+@pytest.mark.parametrize("text, joined", [("SELECT id FROM t", False), ("SELECT count(*) FROM t WHERE id > 1", False), ("SELECT * FROM t", True), ("SELECT id FROM t WHERE twice > 1", True), ("SELECT id FROM t ORDER BY `twice`", True)])
+def test_columns_beside_fragments_are_joined_if_named(engine, text, joined):
+    engine.sql("CREATE TABLE t AS SELECT id FROM range(10)")
+    engine.sql("ALTER TABLE t ADD COLUMNS twice FROM (SELECT _rowaddr, _fragid, id * 2 AS twice FROM t)")
+    plan = engine.sql(text)._jdf.queryExecution().optimizedPlan().toString()
+    assert ("Join" in plan) == joined
+    assert engine.sql(text).count() >= 0

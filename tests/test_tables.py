@@ -293,6 +293,10 @@ def test_nearest(spark, path):
         ("x BETWEEN 1 AND 2 AND _rowaddr = 0", {0}),
         ("(x + 1) * 2 = 4 AND _rowaddr = 0", {0}),
         ("_rowaddr NOT IN (0)", None),
+        ("CASE WHEN x >= 0 AND _rowaddr = 0 AND x < 99 THEN true ELSE true END", None),
+        (r"x = 'a\' AND _rowaddr = 0 AND y = \'b'", None),
+        ('_rowaddr = 0 AND x = "a"', None),
+        ("_rowaddr = 0 AND exists(a, v -> v = 1)", None),
     ],
 )
 def test_row_address_analysis(text, expected):
@@ -307,6 +311,42 @@ def test_pruned_scan(spark, path):
     assert set(HIDDEN) <= set(table.df(metadata=True, where="_rowaddr = 0 AND _rowaddr = 4294967296").columns)
 
 
+def test_zone_maps_prune_conditions(spark, path):
+    """Only comparisons that hold for every row of the answer rule fragments out, and only as the index still knows them."""
+    table = write(spark.range(100).selectExpr("id", "cast(id as string) s", "named_struct('id', id + 1000) meta").repartitionByRange(5, "id"), path)
+    indexes.create_index(table, "k", "btree", ["id", "s"], {"zone_size": 8})
+    files = lambda where: len(table.df(where=where).inputFiles())
+    for where, most in (("id = 7", 1), ("id BETWEEN 3 AND 9 AND s <> 'x'", 1), ("70 < id", 3), ("id = 7 OR id = 90", 5), ("meta.id = 1007", 5), ("s = 7", 5), ("s = '7'", 5), ("NOT id = 7", 5), ("id >= 20 AND id < 10", 0)):
+        rows = table.df(where=where)
+        assert values(rows.select("id")) == values(table.df().where(where).select("id")), where
+        assert (files(where) if most else rows.count()) <= most, where
+    backfill.update_columns(table, ["id"], table.df(metadata=True).where("id = 99").select("_rowaddr", "_fragid", F.lit(7).cast("long").alias("id")))
+    assert table.df(where="id = 7").count() == 2
+
+
+def test_deletions_of_other_fragments_are_not_broadcast(spark, path):
+    table = write(spark.range(1000).repartitionByRange(4, "id"), path)
+    dml.delete(table, "id % 2 = 0")
+    last = table.manifest().fragments[-1].id
+    rows = table.df(fragments=[last])
+    assert "isnotnull(_rowaddr" in rows._jdf.queryExecution().optimizedPlan().toString().lower() and f"= {last})" in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert rows.count() == 125
+
+
+def test_failed_statements_leave_nothing(spark, path):
+    bad = spark.range(5).withColumn("v", F.raise_error(F.lit("no")).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        write(bad, path)
+    assert not Table(spark, path).log.exists()
+    table = write(spark.range(5), f"{path}-2")
+    dml.merge(table, spark.range(3, 8), "t.id = s.id", [dml.When(True, "delete"), dml.When(False, "insert")])
+    with pytest.raises(InvalidArgument):
+        dml.merge(table, spark.createDataFrame([(5,), (5,)], "id long"), "t.id = s.id", [dml.When(True, "delete")])
+    assert values(table.df()) == [(0,), (1,), (2,), (5,), (6,), (7,)]
+    left = [n for n, _, folder, _ in table.files.list(f"{table.root}/_staging") for x, *_ in table.files.list(f"{table.root}/_staging/{n}") if folder and not x.endswith(".crc") and x != "_SUCCESS"]
+    assert not left
+
+
 def test_fragment_join(spark, path):
     rows = four_longs(spark, path).df(metadata=True)
     for how, n in (("inner", 2), ("left_outer", 4), ("left_semi", 2), ("left_anti", 2)):
