@@ -73,21 +73,23 @@ def shard(docs: DataFrame, key: str = "doc_id", params: ShardParams = ShardParam
 
     Null text has no bytes. Rows of one key, and all rows of a null or empty key, share a hash and so a shard; it is
     marked oversized if they exceed the limit, and so is a single larger document. An empty table gives no rows. Input
-    columns named as the new ones are replaced.
+    columns named as the new ones are replaced. A row meets the few leaves of its prefix once, with all its columns; the
+    directory is broadcast up to 16 MB, and beyond that rows are dealt by prefix.
     """
-    docs = docs.drop("n_bytes", "shard", "depth", "shard_docs", "shard_bytes", "oversized", "__h", "__t", "__bucket")
+    docs = docs.drop("n_bytes", "shard", "depth", "shard_docs", "shard_bytes", "oversized", "__h", "__at", "__lo", "__hi")
     rows = docs.withColumn("__h", hash_bits(F.col(key))).withColumn("n_bytes", F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).cast("long"))
     with Scratch(docs.sparkSession, "sharding") as scratch:
         leaves = directory(scratch.save(rows.select(F.col("__h").alias("h"), F.col("n_bytes").alias("bytes")), "sizes"), params)
-        depths = sorted(r["depth"] for r in leaves.select("depth").distinct().collect())  # 61 values at most
-    if not depths:
-        leaves, depths = leaves.limit(0), [0]
-    # a row meets exactly one leaf, at one of the depths that leaves have
-    tries = rows.withColumn("__t", F.explode(F.array(*[F.struct(F.lit(d).alias("depth"), prefix(F.col("__h"), d).alias("bucket")) for d in depths])))
-    tries = tries.withColumn("depth", F.col("__t.depth")).withColumn("__bucket", F.col("__t.bucket")).drop("__t")
-    named = leaves.select("depth", F.col("bucket").alias("__bucket"), F.col("docs").alias("shard_docs"), F.col("bytes").alias("shard_bytes"), "oversized")
-    bits = F.when(F.col("depth") == 0, "").otherwise(F.lpad(F.bin(F.col("__bucket")), F.col("depth"), "0"))
-    return tries.join(sized(named), ["depth", "__bucket"]).withColumn("shard", bits).select(*docs.columns, "n_bytes", "shard", F.col("depth").cast("int").alias("depth"), "shard_docs", "shard_bytes", "oversized")
+        level = max(0, leaves.count() - 1).bit_length()
+    # a leaf is a range of hashes, and it is met by the prefixes of ``level`` bits that lie in it: one for most leaves, and
+    # all together at most twice as many as there are leaves
+    lo = F.call_function("shiftleft", F.col("bucket"), F.lit(BITS) - F.col("depth"))
+    ranges = leaves.withColumn("__lo", lo).withColumn("__hi", F.col("__lo") + F.call_function("shiftleft", F.lit(1).cast("long"), F.lit(BITS) - F.col("depth")) - 1)
+    at = F.explode(F.sequence(prefix(F.col("__lo"), level), prefix(F.col("__hi"), level)))
+    bits = F.when(F.col("depth") == 0, "").otherwise(F.lpad(F.bin(F.col("bucket")), F.col("depth"), "0"))
+    named = ranges.select(at.alias("__at"), "__lo", "__hi", bits.alias("shard"), F.col("depth").cast("int").alias("depth"), F.col("docs").alias("shard_docs"), F.col("bytes").alias("shard_bytes"), "oversized")
+    found = rows.withColumn("__at", prefix(F.col("__h"), level)).join(sized(named), "__at").where("__h >= __lo and __h <= __hi")
+    return found.select(*docs.columns, "n_bytes", "shard", "depth", "shard_docs", "shard_bytes", "oversized")
 
 
 def write_shards(docs: DataFrame, path: str, key: str = "doc_id", params: ShardParams = ShardParams()) -> None:
