@@ -1,12 +1,13 @@
 """Helpers that the training-data operators share: scratch tables, size-checked broadcasts, word hashing.
 
 Spark code here keeps to three rules. Intermediate tables go to the folder that the cluster names in
-``spark.checkpoint.dir`` and nowhere else. A side is broadcast only after it was counted. Python workers keep bounded
-state only, and reach no path that Spark itself does not hand them.
+``spark.checkpoint.dir`` and nowhere else. A side is broadcast only after its bytes were added up. Python workers keep
+bounded state only, and reach no path that Spark itself does not hand them.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -15,9 +16,10 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Rows of a slim side (ids, hashes) that may be broadcast once counted: about 32 MB as a hash relation.
-BROADCAST_ROWS = 500_000
+#: Bytes of a side that may be broadcast once they were added up; as a hash relation it takes about twice as many.
+BROADCAST_BYTES = 16 << 20
 
 M1 = np.uint64(0x9E3779B97F4A7C15)
 M2 = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -26,8 +28,11 @@ _33 = np.uint64(33)
 
 
 def scratch_base(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a temp folder of this machine only where that is unset (tests)."""
+    """The shared folder of ``spark.checkpoint.dir``. Where that is unset, a session of one machine gets a folder of its
+    temp folder (tests) and a cluster an error."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return (base or f"file://{tempfile.gettempdir()}/tessera-scratch").rstrip("/")
 
 
@@ -75,10 +80,29 @@ class Scratch:
         self.drop()
 
 
-def sized(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``limit`` rows, else as it is, for a shuffled join."""
-    n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= limit else df
+def _bytes(value: Column, kind: T.DataType) -> Column:
+    """About the bytes that a value takes in a row."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+    if isinstance(kind, T.StructType):
+        return sum((_bytes(value[f.name], f.dataType) for f in kind.fields), F.lit(16))
+    if isinstance(kind, T.ArrayType):
+        each = _bytes(F.lit(None).cast(kind.elementType), kind.elementType)
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType)):
+            return F.coalesce(F.aggregate(value, F.lit(0), lambda n, x: n + _bytes(x, kind.elementType).cast("int")), F.lit(0)) + 16
+        return F.greatest(F.size(value), F.lit(0)) * each + 16
+    return F.lit(8)
+
+
+def weigh(df: DataFrame) -> int:
+    """About the bytes of all rows of ``df``: one pass over it."""
+    each = sum((_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(16))
+    return df.agg(F.sum(each.cast("long"))).first()[0] or 0
+
+
+def sized(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if its rows have at most ``limit`` bytes, else as it is, for a shuffled join."""
+    return F.broadcast(df) if weigh(df) <= (BROADCAST_BYTES if limit is None else limit) else df
 
 
 def crc_mod(key: Column, n: int) -> Column:

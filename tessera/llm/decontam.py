@@ -7,14 +7,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, ascii_lower, cut, let, sized
+from .common import Scratch, ascii_lower, cut, sized, weigh
 
 
 @dataclass(frozen=True)
 class DecontamParams:
-    """Windows of ``width`` consecutive words; an item of fewer words is one window."""
+    """Windows of ``width`` consecutive words; an item of fewer words is one window. The benchmark's windows are broadcast
+    in blocks of ``block_bytes``, one as a rule, and the corpus is scanned once a block."""
 
     width: int = 10
+    block_bytes: int = 32 << 20
 
 
 _LOWER_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -56,27 +58,37 @@ def _text_key(text: Column) -> Column:
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, params: DecontamParams = DecontamParams()) -> DataFrame:
-    """Per distinct contaminated text: ``key, n_hit, n_items, items_sha256, spans``; spans are ``start, width`` in words."""
+    """Per distinct contaminated text: ``key, n_hit, n_items, items_sha256, spans``; spans are ``start, width`` in words.
+
+    The marks of a text meet the broadcast set of marks as they are made, and where one is found the window itself is
+    compared; no more than the windows found leave the scan.
+    """
     spark = docs.sparkSession
     with Scratch(spark, "decontam") as scratch:
         known = scratch.save(benchmark_windows(benchmark, params), "windows")
         widths = [r["width"] for r in known.select("width").distinct().collect()]  # at most params.width values
         texts = docs.select(F.col("text").cast("string").alias("text")).where("text is not null").withColumn("key", _text_key(F.col("text"))).withColumn("w", words(F.col("text")))
-        marks = F.array().cast("array<struct<width:int,mark:bigint>>")
-        scans = [_marks(F.col("w"), n) for n in widths]
-        if len(scans) == 1:
-            rows = texts.select("key", F.lit(widths[0]).alias("width"), F.posexplode(scans[0]).alias("start", "mark"))
-        elif scans:
-            rows = texts.select("key", F.explode(F.array(*[F.struct(F.lit(n).alias("width"), s.alias("marks")) for n, s in zip(widths, scans, strict=True)])).alias("x")).select("key", "x.width", F.posexplode("x.marks").alias("start", "mark"))
+        # marks are a column before they are exploded: explosion, join and comparison then run as one compiled loop, in
+        # which no row with its words is written out; and "outer" has no filter made of them, for which they would be
+        # worked out word by word
+        if len(widths) == 1:
+            rows = texts.withColumn("x", _marks(F.col("w"), widths[0])).select("key", "w", F.lit(widths[0]).alias("width"), F.posexplode_outer("x").alias("start", "mark"))
         else:
-            rows = texts.select("key", F.explode(marks).alias("x")).select("key", "x.width", F.lit(0).alias("start"), "x.mark")
-        found = rows.join(sized(known.select("width", "mark").distinct()), ["width", "mark"], "left_semi").select("key", "start", "width")
-        # at most one entry a word and width of a text
-        maybe = scratch.save(found.groupBy("key").agg(F.collect_set(F.struct("start", "width")).alias("places")), "places")
-        again = docs.select(F.col("text").cast("string").alias("text")).where("text is not null").withColumn("key", _text_key(F.col("text"))).join(sized(maybe), "key").dropDuplicates(["key"])
-        window = lambda w: F.transform("places", lambda p: F.struct(p["start"].alias("start"), p["width"].alias("width"), F.array_join(F.slice(w, p["start"] + 1, p["width"]), " ").alias("window")))
-        place = let(words(F.col("text")), window)
-        hits = again.select("key", F.explode(place).alias("p")).select("key", "p.*").join(sized(known.select("window", "width", "item_id")), ["window", "width"])
+            entry = lambda n: lambda m, i: F.struct(F.lit(n).alias("width"), i.alias("start"), m.alias("mark"))
+            every = [F.transform(_marks(F.col("w"), n), entry(n)) for n in widths]
+            marks = F.concat(*every) if every else F.array().cast("array<struct<width:int,start:int,mark:bigint>>")
+            rows = texts.withColumn("x", marks).select("key", "w", F.explode_outer("x").alias("e")).select("key", "w", "e.*")
+        blocks = max(1, -(-weigh(known) // params.block_bytes))
+        hits = None
+        for b in range(blocks):
+            mine = known.where(F.pmod(F.col("mark"), F.lit(blocks)) == b) if blocks > 1 else known
+            mine = mine.select(F.col("width").alias("k_width"), F.col("mark").alias("k_mark"), "window", "item_id")
+            # not a key of the join, which would be worked out for every window, but a comparison where marks met
+            text = F.array_join(F.slice(F.col("w"), F.col("start") + 1, F.col("width")), " ")
+            same = (text >= F.col("window")) & (text <= F.col("window"))
+            found = rows.join(F.broadcast(mine), (F.col("width") == F.col("k_width")) & (F.col("mark") == F.col("k_mark")) & same).select("key", "start", "width", "item_id")
+            hits = found if hits is None else hits.union(found)
+        # a text has at most one entry a word and width, whatever the number of its copies
         per = hits.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", "width"))).alias("spans"), F.array_sort(F.collect_set("item_id")).alias("items"))
         zero = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
         step = lambda a, s: F.struct(F.greatest(a["end"], s["start"] + s["width"]).alias("end"), (a["n"] + F.greatest(F.lit(0), s["start"] + s["width"] - F.greatest(a["end"], s["start"]))).alias("n"))
@@ -88,23 +100,31 @@ def contamination(docs: DataFrame, benchmark: DataFrame, params: DecontamParams
 
     Null and empty texts have no words and no hits; items with null id, null text or no words are ignored. Repeated rows
     are answered each, whatever their doc_id. With an empty benchmark nothing is contaminated; the digest of no items is
-    that of the empty string.
+    that of the empty string. Texts are read whole, however long. Windows that several items share are found for each of
+    them. Other columns, whatever their names, are not read.
     """
     hits = find_hits(docs, benchmark, params).drop("spans")
     text = F.col("text").cast("string")
     rows = docs.select("doc_id", F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), _GAP, -1), "")).cast("long").alias("n_words"), _text_key(text).alias("key"))
-    return rows.join(sized(hits), "key", "left").select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"), F.col("n_hit").isNotNull().alias("contaminated"))
+    # both sides are slim, and contaminated texts grow with the corpus: no broadcast
+    return rows.join(hits, "key", "left").select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"), F.col("n_hit").isNotNull().alias("contaminated"))
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, params: DecontamParams = DecontamParams()) -> DataFrame:
-    """The rows of ``docs`` in whose text no benchmark window occurs; all columns pass through."""
+    """The rows of ``docs`` in whose text no benchmark window occurs; all columns pass through, but for one named ``__key``.
+
+    Rows of null or empty text stay. Up to 16 MB of contaminated texts' keys are broadcast; beyond that texts are dealt.
+    """
     docs = docs.drop("__key")
     hits = find_hits(docs, benchmark, params).select(F.col("key").alias("__key"))
     return docs.withColumn("__key", _text_key(F.col("text").cast("string"))).join(sized(hits), "__key", "left_anti").drop("__key")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, params: DecontamParams = DecontamParams()) -> DataFrame:
-    """``docs`` with the words of benchmark windows taken out; a text that changes becomes its words with single blanks."""
+    """``docs`` with the words of benchmark windows taken out; a text that changes becomes its words with single blanks.
+
+    Null, empty and clean texts stay as they are. Columns pass through, but for those named ``__key`` and ``__spans``.
+    """
     docs = docs.drop("__key", "__spans")
     hits = find_hits(docs, benchmark, params).select(F.col("key").alias("__key"), F.col("spans").alias("__spans"))
     keyed = docs.withColumn("__key", _text_key(F.col("text").cast("string"))).join(sized(hits), "__key", "left")
