@@ -6,7 +6,7 @@ more than ``alpha`` of the good documents": P(Bin(n, alpha) <= k) <= level, for
 is gone through from the laxest cutoff down to the first that fails, which costs no correction; the level is ``delta``
 divided by the number of (stratum, rule) pairs, a Bonferroni correction. The last cutoff passed is used; a stratum in
 which none passes has no such rule. So with probability 1 - delta no rule rejects over ``alpha`` of the good documents
-of any stratum.
+of any stratum. At the defaults and twenty pairs a stratum needs 197 good documents for its first cutoff.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from .common import Scratch, cut, let, sized
 
 @dataclass(frozen=True)
 class QualityParams:
-    alpha: float = 0.002
+    alpha: float = 0.03
     delta: float = 0.05
     #: per thousand of the rule's denominator
     grid: tuple[int, ...] = (5, 10, 20, 30, 50, 75, 100, 150, 200, 250, 300, 400, 500, 600, 700, 800, 900, 1000, 1500, 2000, 3000)
@@ -92,10 +92,13 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
 
 
 def thresholds(measured: DataFrame, labels: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
-    """``stratum, rule, cutoff, n_good, n_rejected, p_value`` of the certified rules."""
+    """``stratum, rule, cutoff, n_good, n_rejected, p_value`` of the certified rules.
+
+    A holdout is a document, not a row: rows of one doc_id count once a stratum, by the largest value of each rule.
+    """
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    held = measured.where("not base_failed").join(good, "doc_id")
-    values = held.select("stratum", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.expr(v).alias("v")) for r, v in RULES.items()])).alias("x")).select("stratum", "x.*")
+    held = measured.where("not base_failed").join(good, "doc_id").groupBy("stratum", "doc_id").agg(*[F.max(F.expr(v)).alias(r) for r, v in RULES.items()])
+    values = held.select("stratum", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("v")) for r in RULES])).alias("x")).select("stratum", "x.*")
     # of each value only its place on the grid matters: the number of cutoffs it exceeds
     cuts = F.array(*[F.lit(c) for c in params.grid])
     over = values.groupBy("stratum", "rule", F.size(F.filter(cuts, lambda c: F.col("v") > c)).alias("over")).agg(F.count(F.lit(1)).alias("m"))
@@ -113,8 +116,10 @@ def judge(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityPar
     """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept`` for every row of ``docs``.
 
     Null text counts as empty, so it has no words and fails the base. Null strata are one stratum, together with the
-    empty one. Labels of null doc_id or quality are ignored and repeated ones count once. Without labels no rule is
-    certified and the base alone decides. Repeated rows are answered each.
+    empty one. Labels of null doc_id or quality are ignored and repeated ones count once; a document that is labelled
+    both ways counts as good. Without labels no rule is certified and the base alone decides. Repeated rows are answered
+    each, and are one holdout. A value equal to a cutoff stays. Texts are read whole, however long; other columns,
+    whatever their names, are not read. An empty table gives no rows.
     """
     with Scratch(docs.sparkSession, "quality") as scratch:
         measured = scratch.save(metrics(docs, stratum), "metrics")

@@ -21,9 +21,10 @@ v AS (SELECT rid, doc_id, stratum, base_failed, unnest([
         {'rule': 'short_words', 'v': 1000 * n_words // greatest(word_chars, 1)}], recursive := true) FROM b WHERE NOT base_failed),
 good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
 grid AS (SELECT unnest([5, 10, 20, 30, 50, 75, 100, 150, 200, 250, 300, 400, 500, 600, 700, 800, 900, 1000, 1500, 2000, 3000]) AS cutoff),
-k AS (SELECT stratum, rule, cutoff, count(*) AS n, count(*) FILTER (v > cutoff) AS k FROM v JOIN good USING (doc_id), grid GROUP BY stratum, rule, cutoff),
-p AS (SELECT *, CASE WHEN k >= n * 0.002 THEN 1.0 ELSE list_sum(list_transform(generate_series(0, k), lambda j:
-        exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(0.002) + (n - j) * ln(0.998)))) END AS p_value FROM k),
+h AS (SELECT stratum, rule, doc_id, max(v) AS v FROM v JOIN good USING (doc_id) GROUP BY stratum, rule, doc_id),
+k AS (SELECT stratum, rule, cutoff, count(*) AS n, count(*) FILTER (v > cutoff) AS k FROM h, grid GROUP BY stratum, rule, cutoff),
+p AS (SELECT *, CASE WHEN k >= n * 0.03 THEN 1.0 ELSE list_sum(list_transform(generate_series(0, k), lambda j:
+        exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(0.03) + (n - j) * ln(0.97)))) END AS p_value FROM k),
 lim AS (SELECT 0.05 / greatest(1, count(*)) AS level FROM (SELECT DISTINCT stratum, rule FROM k)),
 cut AS (SELECT stratum, rule, min(cutoff) FILTER (cutoff > coalesce(failed, -1)) AS cutoff FROM (
           SELECT p.*, max(CASE WHEN p_value > level THEN cutoff END) OVER (PARTITION BY stratum, rule) AS failed FROM p, lim) GROUP BY stratum, rule),

@@ -7,7 +7,7 @@ import pytest
 from helpers import make
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, linededup, quality, sharding
+from tessera.llm import common, decontam, linededup, quality, queries, sharding
 from tessera.llm.sql import SQL
 
 
@@ -76,6 +76,30 @@ def test_certified_cutoffs_hold_the_guarantee(spark):
     assert few.count() == 0  # a hundred documents prove nothing at this level
 
 
+def test_judge_rejects_by_certified_cutoffs(spark):
+    """The whole verdict against DuckDB where rules are certified and reject, with repeated rows and a small stratum."""
+    rows = [(i, " ".join(f"word{(7 * i + j) % 997}" for j in range(60)) + (" # #" if i % 300 == 0 else ""), "en", "s") for i in range(900)]
+    rows += [(5000 + i, "ab### cd$$$ " + " ".join(f"x{(11 * i + j) % 499}#" for j in range(60)), "en" if i % 2 else "de", "s") for i in range(60)]
+    rows += [rows[0]] * 400 + [(6000 + i, " ".join(f"wort{(5 * i + j) % 797}" for j in range(60)), "de", "s") for i in range(30)]
+    docs = make(spark, rows).repartition(3)
+    labels = docs.select("doc_id", F.when(F.col("doc_id").between(5000, 5999), 0).otherwise(1).alias("quality")).distinct()
+    found = {(r.stratum, r.rule): r for r in quality.thresholds(quality.metrics(docs), labels).collect()}
+    assert found["en", "symbols"].n_good == 900 and found["en", "symbols"].n_rejected <= 27 and not any(s == "de" for s, _ in found)
+    out = quality.judge(docs, labels)
+    twin("op3_quality_rules", {"documents": docs, "labels": labels}, out)
+    gone = {r.doc_id for r in out.where("not kept and not base_failed").collect()}
+    assert {5001 + 2 * i for i in range(30)} <= gone and not gone & {6000 + i for i in range(30)} and len(gone) < 50
+
+
+def test_rules_reject_at_given_sizes(spark):
+    """The registered query certifies rules on a given table and rejects by them; the stated share of good documents stays."""
+    out = queries.op3_quality_rules(spark, "/root/testdata/sf0.01")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    seen = out.where("not base_failed").join(labels, "doc_id").groupBy("quality").agg(F.count("*").alias("n"), F.count_if(~F.col("kept")).alias("gone")).collect()
+    seen = {r.quality: r for r in seen}
+    assert seen[0].gone > 0.5 * seen[0].n and seen[1].gone <= 0.03 * seen[1].n
+
+
 def test_sharding(docs, nothing, messy):
     out = sharding.shard(docs).select("doc_id", "n_bytes", "shard", "depth", "shard_docs", "shard_bytes", "oversized")
     twin("op4_sharding", {"documents": docs}, out)
@@ -95,6 +119,14 @@ def test_sharding(docs, nothing, messy):
     assert not any(a != b and b.startswith(a) for a in sizes for b in sizes)
 
 
+def test_shards_by_a_dealt_directory(docs, monkeypatch):
+    """The same rows where the directory is not broadcast, and with leaves of many depths."""
+    params = sharding.ShardParams(limit_bytes=3000, step=2)
+    plain = sorted(map(repr, sharding.shard(docs, params=params).collect()))
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    assert sorted(map(repr, sharding.shard(docs, params=params).collect())) == plain and len(plain) == docs.count()
+
+
 def test_written_shards(spark, docs, tmp_path):
     sharding.write_shards(docs, f"file://{tmp_path}/shards", params=sharding.ShardParams(limit_bytes=3000))
     assert spark.read.parquet(f"file://{tmp_path}/shards").count() == docs.count()
@@ -125,6 +157,30 @@ def test_contamination(docs, nothing, benchmark, spark):
     assert clean.where("contaminated").count() == 0 and clean.count() == docs.count()
 
 
+def test_contamination_in_blocks(docs, benchmark, monkeypatch):
+    """The same rows if the benchmark is broadcast in several blocks, and if nothing else is broadcast."""
+    plain = sorted(map(repr, decontam.contamination(docs, benchmark).collect()))
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    params = decontam.DecontamParams(block_bytes=500)
+    assert sorted(map(repr, decontam.contamination(docs, benchmark, params).collect())) == plain
+    left = sorted(map(repr, decontam.remove_contaminated(docs, benchmark, params).select("doc_id", "text").collect()))
+    clean = [r.doc_id for r in decontam.contamination(docs, benchmark).where("not contaminated").collect()]
+    assert len(left) == len(clean)
+
+
+def test_only_the_benchmark_is_broadcast(docs, benchmark):
+    text = decontam.find_hits(docs, benchmark)  # written: its plan is looked at in parts
+    assert text.columns == ["key", "n_hit", "n_items", "items_sha256", "spans"]
+    plan = decontam.contamination(docs, benchmark)._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in plan
+
+
+def test_sized(spark):
+    df = spark.createDataFrame([("x" * 100, [1, 2], ["ab", None], (1, "y"))], "s string, a array<long>, t array<string>, u struct<i:int,s:string>")
+    assert 150 < common.weigh(df) < 400 and common.weigh(df.limit(0)) == 0
+    assert "ResolvedHint" in common.sized(df)._jdf.queryExecution().analyzed().toString() and "ResolvedHint" not in common.sized(df, 100)._jdf.queryExecution().analyzed().toString()
+
+
 def test_removal(docs, benchmark):
     hit = {r.doc_id for r in decontam.contamination(docs, benchmark).where("contaminated and doc_id is not null").collect()}
     left = decontam.remove_contaminated(docs, benchmark)
