@@ -3,7 +3,8 @@
 Documents that share a band are candidates. Within a bucket, batches of signatures are compared and pairs go as soon as
 the posterior probability that they reach the threshold is under ``miss``; what stays links documents to clusters. Every
 plausible pair lies within one cluster, so the full sets of a cluster's documents meet once, whatever number of bands
-they share, and only links that join two parts of a component leave a task. Neither step writes out the pairs of a group.
+they share; the pairs that no batch prunes are verified there, and only links that join two parts of a component leave a
+task. Neither step writes out the pairs of a group.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ class MinHashParams:
     miss: float = 1e-6
     block: int = 4096  #: documents of a bucket that are compared in one task
     sets_block: int = 1024  #: documents of a cluster whose sets are
+    sets_shingles: int = 1 << 20  #: shingles of those documents, 8 MB as hashes; a larger document is a block of its own
     seed: int = 20240229
 
 
@@ -116,11 +118,12 @@ def features(docs: DataFrame, params: MinHashParams) -> DataFrame:
                         acc = mix(acc)
                     keys.append(acc.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(sizes, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(sigs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                    ["doc_id", "n_shingles", "hi", "lo", "sig", "bands"],
+                    [batch.column(0), pa.array(sizes, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(sigs, pa.binary()), pa.array(keys, pa.list_(pa.int64())), batch.column(2)],
+                    ["doc_id", "n_shingles", "hi", "lo", "sig", "bands", "text_key"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_shingles long, hi long, lo long, sig binary, bands array<long>")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text).alias("text_key")).mapInArrow(run, "doc_id long, n_shingles long, hi long, lo long, sig binary, bands array<long>, text_key long")
 
 
 def spanning_links(n: int, scan) -> list[tuple[int, int]]:
@@ -149,36 +152,46 @@ def spanning_links(n: int, scan) -> list[tuple[int, int]]:
         i = int(left[0])
 
 
-def set_scanner(sets: list[np.ndarray], percent: int):
-    """A ``scan`` by exact similarity of sorted sets, over an inverted index of them."""
+def set_scanner(sets: list[np.ndarray], percent: int, few: int = 32):
+    """A ``scan`` by exact similarity of sorted sets: one by one, or for more than ``few`` over an inverted index of all."""
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-    if len(sets) == 2:
-        both = len(np.intersect1d(*sets, assume_unique=True))
-        return lambda i, others: np.array([100 * both >= percent * (sizes.sum() - both)])
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    _, item = np.unique(np.concatenate(sets), return_inverse=True)
-    order = np.argsort(item, kind="stable")
-    holders = owner[order]
-    first = np.searchsorted(item[order], np.arange(item.max() + 2))
-    starts = np.cumsum(sizes) - sizes
+    index: list[tuple] = []
+
+    def shared(i: int, j: int) -> int:
+        a, b = (sets[i], sets[j]) if sizes[i] <= sizes[j] else (sets[j], sets[i])
+        at = np.searchsorted(b, a)
+        at[at == len(b)] = 0
+        return int((b[at] == a).sum())
+
+    def build():
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        _, item = np.unique(np.concatenate(sets), return_inverse=True)
+        order = np.argsort(item, kind="stable")
+        return item, owner[order], np.searchsorted(item[order], np.arange(item.max() + 2)), np.cumsum(sizes) - sizes
 
     def scan(i, others):
-        mine = item[starts[i] : starts[i] + sizes[i]]
-        a, b = first[mine], first[mine + 1]
-        ends = np.cumsum(b - a)
-        place = np.arange(ends[-1]) + np.repeat(a - (ends - (b - a)), b - a)
-        both = np.bincount(holders[place], minlength=len(sets))[others]
+        if len(others) <= few:
+            both = np.fromiter((shared(i, j) for j in others), np.int64, len(others))
+        else:
+            if not index:
+                index.append(build())
+            item, holders, first, starts = index[0]
+            mine = item[starts[i] : starts[i] + sizes[i]]
+            a, b = first[mine], first[mine + 1]
+            ends = np.cumsum(b - a)
+            place = np.arange(ends[-1]) + np.repeat(a - (ends - (b - a)), b - a)
+            both = np.bincount(holders[place], minlength=len(sets))[others]
         return 100 * both >= percent * (sizes[i] + sizes[others] - both)
 
     return scan
 
 
-def _dealt(groups: DataFrame, key: str, block: int) -> DataFrame:
-    """``groups(key, id, n, ...)`` with ``lo, hi``: every two members of a group of ``n`` meet in some (key, lo, hi)."""
-    blocks = F.ceil(F.col("n") / block).cast("int")
+def _dealt(groups: DataFrame) -> DataFrame:
+    """``groups(key, id, blocks, ...)`` with ``lo, hi``: every two members of a group meet in some (key, lo, hi)."""
+    blocks = F.col("blocks")
     side = F.pmod(F.xxhash64("id"), blocks.cast("long")).cast("int")
     peer = F.explode(F.sequence(F.lit(0), blocks - 1))
-    return groups.withColumn("side", side).withColumn("peer", peer).withColumn("lo", F.least("side", "peer")).withColumn("hi", F.greatest("side", "peer")).drop("side", "peer", "n")
+    return groups.withColumn("side", side).withColumn("peer", peer).withColumn("lo", F.least("side", "peer")).withColumn("hi", F.greatest("side", "peer")).drop("side", "peer", "blocks")
 
 
 def _units(batches, payload: int):
@@ -232,24 +245,43 @@ def plausible_links(sigs: DataFrame, params: MinHashParams) -> DataFrame:
         return scan
 
     rows = sigs.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    units = _dealt(rows.join(shared, "key"), "key", params.block)
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / params.block).cast("int").alias("blocks"))
+    units = _dealt(rows.join(shared, "key"))
     return _linked(units.join(sigs.select(F.col("doc_id").alias("id"), "sig"), "id"), "sig", lambda: scanner).distinct()
 
 
-def exact_links(docs: DataFrame, clusters: DataFrame, params: MinHashParams) -> DataFrame:
-    """Links between documents of a cluster whose full shingle sets reach the threshold."""
-    width, percent = params.shingle, params.percent
+def exact_links(docs: DataFrame, sigs: DataFrame, clusters: DataFrame, params: MinHashParams) -> DataFrame:
+    """Links between documents of a cluster that no batch of hashes prunes and whose full sets reach the threshold."""
+    width, percent, k = params.shingle, params.percent, params.bands * params.rows
 
     def scanner_of():
         hasher = WordHasher()
-        return lambda held: set_scanner([shingle_set(hasher.hashes(ascii_words(t)), width) for t in held], percent)
 
-    sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    members = clusters.join(sizes, "component").select(F.col("component").alias("key"), "id", "n")
-    units = _dealt(members, "key", params.sets_block)
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    return _linked(texts.join(sized(units, limit=100_000), "id"), "text", scanner_of).distinct()
+        def scanner(texts):
+            sets = [shingle_set(hasher.hashes(ascii_words(t)), width) for t in texts]
+            exact = set_scanner(sets, percent)
+            if len(sets) == 2:  # what links two documents to a cluster is their own pair
+                return exact
+            sig = np.stack([(signature(s, k, params.seed) & np.uint32(255)).astype(np.uint8) for s in sets])
+
+            def scan(i, others):
+                out = np.zeros(len(others), bool)
+                live = plausible(np.broadcast_to(sig[i], (len(others), k)), sig[others], params)
+                if len(live):
+                    out[live] = exact(i, others[live])
+                return out
+
+            return scan
+
+        return scanner
+
+    members = clusters.join(sigs.select(F.col("doc_id").alias("id"), "n_shingles", "text_key"), "id").withColumnRenamed("component", "key")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / params.sets_block), F.ceil(F.sum("n_shingles") / params.sets_shingles))
+    sizes = members.groupBy("key").agg(blocks.cast("int").alias("blocks"))
+    units = _dealt(members.join(sizes, "key").select("key", "id", "text_key", "blocks"))
+    text = F.col("text").cast("string")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("text_key")).where("text is not null")
+    return _linked(texts.join(sized(units), ["id", "text_key"]), "text", scanner_of).distinct()
 
 
 def near_duplicates(docs: DataFrame, params: MinHashParams = MinHashParams()) -> DataFrame:
@@ -258,8 +290,10 @@ def near_duplicates(docs: DataFrame, params: MinHashParams = MinHashParams()) ->
     Documents with equal sets are one node of the graph; a set's least doc_id stands for it.
 
     Null or empty text, or text without words: size 0, linked with nothing. A null doc_id: component_id null, kept.
-    Repeated rows of one doc_id count as one document and are all returned. Other columns are ignored. An empty table
-    gives an empty result.
+    Repeated rows of one doc_id count as one document and are all returned; if their texts differ, the document's links
+    are those of the row of the smallest set, by size and then fingerprint, and of rows with equal sets. Of a group the
+    least doc_id is kept, so there are no ties. Texts are read whole, however long. Other columns, whatever their names,
+    are ignored. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     with Scratch(spark, "minhash") as scratch:
@@ -268,9 +302,10 @@ def near_duplicates(docs: DataFrame, params: MinHashParams = MinHashParams()) ->
         reps = real.groupBy("n_shingles", "hi", "lo").agg(F.min("doc_id").alias("rep"))
         nodes = scratch.save(feats.select("doc_id", "n_shingles", "hi", "lo").join(reps, ["n_shingles", "hi", "lo"], "left").select("doc_id", "n_shingles", "rep"), "nodes")
         firsts = nodes.where("doc_id = rep").select("doc_id").distinct()
-        sigs = scratch.save(real.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "sig", "bands"), "signatures")
+        least = F.min(F.struct("n_shingles", "hi", "lo", "text_key", "sig", "bands")).alias("x")
+        sigs = scratch.save(real.join(firsts, "doc_id", "left_semi").groupBy("doc_id").agg(least).select("doc_id", "x.n_shingles", "x.text_key", "x.sig", "x.bands"), "signatures")
         scratch.drop("features")
         clusters = connected_components(scratch.save(plausible_links(sigs, params), "plausible"))
-        comps = connected_components(scratch.save(exact_links(docs, clusters, params), "links"))
+        comps = connected_components(scratch.save(exact_links(docs, sigs, clusters, params), "links"))
         out = nodes.join(comps.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component_id", F.coalesce("component", "rep", "doc_id"))
         return cut(out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))

@@ -52,7 +52,7 @@ def test_chain_of_edits_and_blocks(spark):
         rows.append((i * 3 % 361, " ".join(w), "en", "s"))
         w[rng.randrange(60)] = f"n{i}"
     df = make(spark, rows).repartition(5)
-    for params in (MinHashParams(), MinHashParams(block=16, sets_block=8)):
+    for params in (MinHashParams(), MinHashParams(block=16, sets_block=8, sets_shingles=300)):
         assert got(near_duplicates(df, params)) == brute(rows)
 
 
@@ -82,7 +82,7 @@ def test_spanning_links_against_all_pairs():
     for _ in range(200):
         n = int(rng.integers(2, 14))
         sets = [np.unique(rng.integers(0, 8, rng.integers(1, 8))).astype(np.uint64) for _ in range(n)]
-        scan = set_scanner(sets, 60)
+        scan = set_scanner(sets, 60, int(rng.choice([0, 3, 32])))
         links = spanning_links(n, scan)
         part = list(range(n))
 
@@ -109,3 +109,11 @@ def test_components(spark):
         p, q = part.setdefault(a, a), part.setdefault(b, b)
         part = {x: min(p, q) if y in (p, q) else y for x, y in part.items()}
     assert found == part
+
+
+def test_texts_of_one_id(spark):
+    """Rows of one doc_id are one document, linked by its smaller set and with rows of equal sets, however rows are dealt."""
+    a, b = "one two three four five six seven", "other words that are more than those of the first text by far"
+    rows = [(1, a, "en", ""), (2, a, "en", ""), (2, b, "en", ""), (3, b, "en", "")]
+    found = [sorted((r.doc_id, r.n_shingles, r.component_id) for r in near_duplicates(make(spark, rows).repartition(n)).collect()) for n in (1, 4)]
+    assert found[0] == found[1] and {i: c for i, _, c in found[0] if i != 2} == {1: 1, 3: 1}
