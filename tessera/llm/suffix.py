@@ -211,7 +211,8 @@ def _chunked(pieces: DataFrame, params: SuffixParams) -> DataFrame:
 
 
 def _counted(pieces: DataFrame, params: SuffixParams) -> DataFrame:
-    """The same as ``_chunked`` for groups too large for a task: equal windows meet by hash, combined on the map side."""
+    """The same as ``_chunked`` for groups too large for a task: equal windows meet by hash, combined on the map side, and
+    those found become runs before a text's are gathered."""
     least = params.least
 
     def windows(batches):
@@ -227,7 +228,19 @@ def _counted(pieces: DataFrame, params: SuffixParams) -> DataFrame:
 
     w = pieces.select("ka", "kb", "h", "ch", "m", "start", "bytes").mapInArrow(windows, "ka long, kb long, m long, s int, wa long, wb long")
     twice = w.groupBy("wa", "wb").agg(F.sum("m").alias("n")).where("n > 1").select("wa", "wb")
-    return w.where("m = 1").join(twice, ["wa", "wb"], "left_semi").select("ka", "kb", "s", (F.col("s") + least).alias("e")).distinct()
+    hits = w.where("m = 1").join(twice, ["wa", "wb"], "left_semi")
+    near = hits.groupBy("ka", "kb", F.shiftright("s", 12).alias("b")).agg(F.collect_set("s").alias("starts"))  # 4096 at most
+
+    def runs(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = [_runs(np.sort(np.array(x.as_py(), np.int32)), least) for x in batch.column(2)]
+            take = pa.array(np.repeat(np.arange(len(found)), [len(s) for s, _ in found]))
+            s, e = (np.concatenate([x[j] for x in found]) if found else np.zeros(0, np.int32) for j in (0, 1))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(s, pa.int32()), pa.array(e, pa.int32())], ["ka", "kb", "s", "e"])
+
+    return near.select("ka", "kb", "starts").mapInArrow(runs, "ka long, kb long, s int, e int")
 
 
 def coverage(texts: DataFrame, scratch: Scratch, params: SuffixParams) -> DataFrame:
@@ -310,7 +323,9 @@ def removals(docs: DataFrame, params: SuffixParams = SuffixParams()) -> DataFram
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row of ``docs(doc_id, text, ...)``.
 
     Null text counts as empty, and texts under ``least`` bytes lose nothing. Every row counts as a place of its own, so
-    a repeated row loses all of its text if that has ``least`` bytes. Matches stay within a row's text.
+    a repeated row loses all of its text if that has ``least`` bytes. Matches stay within a row's text. Texts are read
+    whole, however long; there is nothing to tie. Other columns, whatever their names, are not read. An empty table
+    gives no rows.
     """
     answer = lambda text, runs: (len(text), sum(e - s for s, e in runs), len(runs), hashlib.sha256(cut_out(text, runs)).hexdigest())
     return _apply(docs, params, answer, {"n_bytes": "int64", "n_removed": "int64", "n_spans": "int64", "kept_sha256": "string"})

@@ -1,8 +1,10 @@
 """The pipeline's stages and the registered queries that SQL cannot express, against brute force on the smallest tables."""
 
+import hashlib
 import os
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from test_bytes import brute as covered_bytes
 from test_bytes import check_packing
@@ -101,9 +103,14 @@ def test_op9(spark, rows):
 
 
 def test_op10(spark, rows):
-    out = {r.doc_id: (r.n_bytes, r.n_removed) for r in queries.op10_suffix_array_dedup(spark, DATA).collect()}
+    out = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.op10_suffix_array_dedup(spark, DATA).collect()}
     texts = [(t or "").encode() for _, t, *_ in rows]
-    assert out == {i: (len(b), int(c.sum())) for (i, *_), b, c in zip(rows, texts, covered_bytes(texts, 200), strict=True)}
+    want = {}
+    for (i, *_), b, c in zip(rows, texts, covered_bytes(texts, 200), strict=True):
+        c = np.asarray(c, bool)
+        spans = int((np.diff(c.astype(int), prepend=0) == 1).sum())
+        want[i] = (len(b), int(c.sum()), spans, hashlib.sha256(np.frombuffer(b, np.uint8)[~c].tobytes()).hexdigest())
+    assert out == want
 
 
 def test_every_operator_is_registered():
