@@ -109,21 +109,23 @@ class EliasFano:
 
 
 class NgramTrie:
-    """Levels of Elias-Fano successors and pointers, with a quantised log10 probability for each n-gram.
+    """Levels of Elias-Fano successors and pointers, with a quantised log10 probability for each n-gram, and for those of
+    all levels but the last the quantised log10 weight of backing off from it.
 
     Level 0 holds the sorted first words. The children of node i of a level are the places pointer[i]..pointer[i+1] of
     the next; a child is stored relative to its context: word + base, the base being one more than the last number
     stored for the context before, so that the whole level is one ascending sequence.
     """
 
-    STEP = 4096.0
+    STEP, BACK_STEP = 4096.0, 16384.0
 
-    def __init__(self, words: list[EliasFano], pointers: list[EliasFano], codes: list[np.ndarray]):
-        self.words, self.pointers, self.codes = words, pointers, codes
+    def __init__(self, words: list[EliasFano], pointers: list[EliasFano], codes: list[np.ndarray], backs: list[np.ndarray]):
+        self.words, self.pointers, self.codes, self.backs = words, pointers, codes, backs
 
     @classmethod
-    def build(cls, ngrams: list[np.ndarray], logp: list[np.ndarray]) -> NgramTrie:
-        """``ngrams[k]``: distinct rows of k + 1 word ids in lexicographic order, each with its prefix in ``ngrams[k-1]``."""
+    def build(cls, ngrams: list[np.ndarray], logp: list[np.ndarray], back: list[np.ndarray] = ()) -> NgramTrie:
+        """``ngrams[k]``: distinct rows of k + 1 word ids in lexicographic order, each with its prefix in ``ngrams[k-1]``;
+        ``logp`` and ``back``: their probabilities and back-off weights, in logarithms, by level."""
         words, pointers = [EliasFano.build(ngrams[0][:, 0])], []
         for k in range(1, len(ngrams)):
             rows, above = ngrams[k], ngrams[k - 1]
@@ -141,8 +143,8 @@ class NgramTrie:
                 counts, stored = np.zeros(len(above), np.int64), np.zeros(0, np.uint64)
             pointers.append(EliasFano.build(np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])))
             words.append(EliasFano.build(stored))
-        codes = [np.clip(np.rint(-x * cls.STEP), 0, 65535).astype(np.uint16) for x in logp]
-        return cls(words, pointers, codes)
+        quantised = lambda x, step: np.clip(np.rint(-x * step), 0, 65535).astype(np.uint16)
+        return cls(words, pointers, [quantised(x, cls.STEP) for x in logp], [quantised(x, cls.BACK_STEP) for x in back])
 
     def find(self, ids: np.ndarray) -> np.ndarray:
         """Places of ``ids`` (rows of n word ids) in level n - 1; -1 for those that are not there."""
@@ -172,6 +174,9 @@ class NgramTrie:
     def logp(self, level: int, places: np.ndarray) -> np.ndarray:
         return self.codes[level][places] / -self.STEP
 
+    def back(self, level: int, places: np.ndarray) -> np.ndarray:
+        return self.backs[level][places] / -self.BACK_STEP
+
     def save(self, path: str) -> None:
         """One file: a line of JSON that says where each array lies, then the arrays."""
         parts, head, at = [], {"levels": len(self.words), "ef": {}, "arrays": {}}, 0
@@ -179,7 +184,7 @@ class NgramTrie:
             for k, ef in enumerate(seqs):
                 head["ef"][f"{kind}{k}"] = [ef.n, ef.bits]
                 parts += [(f"{kind}{k}.{name}", a) for name, a in ef.arrays().items()]
-        parts += [(f"c{k}", a) for k, a in enumerate(self.codes)]
+        parts += [(f"c{k}", a) for k, a in enumerate(self.codes)] + [(f"b{k}", a) for k, a in enumerate(self.backs)]
         for name, a in parts:
             head["arrays"][name] = [at, len(a), a.dtype.str]
             at += -(-a.nbytes // 8) * 8
@@ -207,8 +212,8 @@ class NgramTrie:
             return EliasFano({x: array(f"{name}.{x}") for x in ("low", "high", "ones")}, *head["ef"][name])
 
         levels = head["levels"]
-        codes = [array(x) for x in sorted(y for y in head["arrays"] if y.startswith("c"))]
-        return cls([ef(f"w{k}") for k in range(levels)], [ef(f"p{k}") for k in range(levels - 1)], codes)
+        codes, backs = ([array(f"{kind}{k}") for k in range(levels) if f"{kind}{k}" in head["arrays"]] for kind in "cb")
+        return cls([ef(f"w{k}") for k in range(levels)], [ef(f"p{k}") for k in range(levels - 1)], codes, backs)
 
 
 def _rank_rows(table: np.ndarray, rows: np.ndarray) -> np.ndarray:

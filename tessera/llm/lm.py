@@ -6,8 +6,10 @@ which stands for the number of distinct successors. The context of a text's firs
 The corpus is cut once into chunks of packed tokens. Words are counted by ranges of their hashes and each chunk gets the
 counts of its own words back. Then each chunk deals its distinct bigrams to shards by context, with the documents they
 occur in; a shard adds up the counts, writes its trie, maps it, looks the chunks' bigrams up in it and returns sums by
-document. A context with more tokens than a shard's share is dealt on by successor, which the formula allows. No task
-holds more than a shard or a chunk, and no model is broadcast or collected: it grows with the corpus, spread over tasks.
+document. The trie's first level has every word of the shard with its probability and its back-off weight, the second the
+bigrams of training; a bigram that is not there is the weight of its context times the probability of its word. A context
+with more tokens than a shard's share is dealt on by successor, which the formula allows. No task holds more than a shard
+or a chunk, and no model is broadcast or collected: it grows with the corpus, spread over tasks.
 """
 
 from __future__ import annotations
@@ -237,41 +239,53 @@ def _deal(words: list[tuple[int, bytes]], body: bytes, total: int, distinct: int
     return head, out
 
 
-def build_shard(parts: Iterator[tuple[np.ndarray, ...]], params: LmParams) -> NgramTrie:
-    """The trie of a shard's bigrams from ``first, second, seen, context_count, unigram`` arrays; rows are added up."""
-    first, second, seen, n1, p1 = (np.concatenate(x) for x in zip(*([a[p[2] > 0] for a in p] for p in parts), strict=True))
-    contexts, c = np.unique(first, return_inverse=True)
-    key = (c.astype(np.uint64) << np.uint64(_WORD_BITS)) | second
-    del first, c
+def build_shard(parts: Iterator[tuple[np.ndarray, ...]], size: int, params: LmParams) -> NgramTrie:
+    """The trie of a shard from ``first, second, seen, n1, n2`` arrays, n1 and n2 being the counts of the two words in
+    training; rows are added up. ``size``: the denominator of word probabilities."""
+    held, vocabulary = [], []
+    for first, second, seen, n1, n2 in parts:
+        words, at = np.unique(np.concatenate([first, second]), return_index=True)
+        vocabulary.append((words, np.concatenate([n1, n2])[at]))
+        some = seen > 0
+        held.append((first[some], second[some], seen[some], n1[some], n2[some]))
+    first, second, seen, n1, n2 = (np.concatenate(x) for x in zip(*held, strict=True))
+    words, counts = (np.concatenate(x) for x in zip(*vocabulary, strict=True))
+    words, at = np.unique(words, return_index=True)
+    counts = counts[at].astype(float)
+    del held, vocabulary, at
+    place = np.searchsorted(words, first)
+    key = (place.astype(np.uint64) << np.uint64(_WORD_BITS)) | second
+    del first, place
     order = np.argsort(key)
     key = key[order]
     lead = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
-    n2 = np.add.reduceat(seen[order].astype(np.int64), lead) if len(lead) else np.zeros(0, np.int64)
+    both = np.add.reduceat(seen[order].astype(np.int64), lead) if len(lead) else np.zeros(0, np.int64)
     some = order[lead]
     m = mass(n1[some], params)
-    logp = np.log10((n2 + m * p1[some]) / (n1[some] + m))
-    pairs = np.stack([contexts[(key[lead] >> np.uint64(_WORD_BITS)).astype(np.int64)], second[some]], 1)
+    logp = np.log10((both + m * (n2[some] + 1) / size) / (n1[some] + m))
+    pairs = np.stack([words[(key[lead] >> np.uint64(_WORD_BITS)).astype(np.int64)], second[some]], 1)
     del key, order, some
-    return NgramTrie.build([contexts[:, None], pairs], [np.zeros(len(contexts)), logp])
+    m = mass(counts, params)
+    return NgramTrie.build([words[:, None], pairs], [np.log10((counts + 1) / size), logp], [np.log10(m / (counts + m))])
 
 
 def _shard(rows: list[bytes], total: int, distinct: int, params: LmParams) -> Iterator[bytes]:
     """For each chunk's bigrams of this shard: documents and the sums of their log10 probabilities."""
 
     def entries(row):
-        lead, size, n1, second, n, seen, width, docs, times = unpack(row)
-        return np.repeat(np.cumsum(lead, dtype=np.uint64), size), second, seen, np.repeat(n1, size), (n + 1) / (total + distinct + 1), width, docs, times
+        lead, size, n1, second, n2, seen, width, docs, times = unpack(row)
+        return np.repeat(np.cumsum(lead, dtype=np.uint64), size), second, seen, np.repeat(n1, size), n2, width, docs, times
 
     with tempfile.TemporaryDirectory() as folder:
         path = os.path.join(folder, "trie")
-        build_shard((entries(r)[:5] for r in rows), params).save(path)
+        build_shard((entries(r)[:5] for r in rows), total + distinct + 1, params).save(path)
         trie = NgramTrie.load(path)
         for row in rows:  # unpacked again rather than held: a shard is one chunk large at a time
-            first, second, _, n1, p1, width, docs, times = entries(row)
+            first, second, _, _, _, width, docs, times = entries(row)
             at = trie.find(np.stack([first, second], 1))
-            m = mass(n1, params)
-            logp = np.log10(m * p1 / (n1 + m))
-            logp[at >= 0] = trie.logp(1, at[at >= 0])
+            logp = trie.logp(1, np.maximum(at, 0)) if trie.words[1].n else np.zeros(len(at))
+            new = np.flatnonzero(at < 0)
+            logp[new] = trie.back(0, trie.find(first[new, None])) + trie.logp(0, trie.find(second[new, None]))
             sums = np.bincount(docs, np.repeat(logp, width) * times)
             some = np.flatnonzero(np.bincount(docs))
             yield pack(some.astype(np.uint32), sums[some])
@@ -283,7 +297,8 @@ def score(docs: DataFrame, params: LmParams = LmParams()) -> DataFrame:
 
     Null text counts as empty: one token, the end. A null doc_id is neither held out nor learnt from. Repeated rows are
     learnt and scored each. Without a training row every word is unknown and every probability is that of the unknown
-    word, 1. An empty table gives no rows.
+    word, 1. An empty table gives no rows. Texts are read whole, however long. Other columns, whatever their names, are
+    not read. There is nothing to tie.
     """
     with Scratch(docs.sparkSession, "lm") as scratch:
         table = scratch.save(chunks(docs, params), "chunks", by="kind")

@@ -11,7 +11,7 @@ from helpers import make
 
 from tessera.llm.eliasfano import EliasFano, NgramTrie
 from tessera.llm.langid import LangParams, identify
-from tessera.llm.lm import LmParams, pack, score, unpack
+from tessera.llm.lm import LmParams, build_shard, pack, score, unpack
 
 
 def crc(i):
@@ -157,11 +157,34 @@ def test_trie_of_three_levels():
         g2 = np.unique(np.concatenate([g3[:, :2], rng.integers(0, top, (20, 2))]), axis=0)
         g1 = np.unique(np.concatenate([g2[:, :1], rng.integers(0, top, (5, 1))]), axis=0)
         logp = [-rng.random(len(g)) * 5 for g in (g1, g2, g3)]
+        back = [-rng.random(len(g)) * 3 for g in (g1, g2)]
         with tempfile.NamedTemporaryFile() as f:
-            NgramTrie.build([g1, g2, g3], logp).save(f.name)
+            NgramTrie.build([g1, g2, g3], logp, back).save(f.name)
             trie = NgramTrie.load(f.name)
+            for k, x in enumerate(back):
+                assert np.abs(trie.back(k, np.arange(len(x))) - x).max() <= 0.5 / trie.BACK_STEP + 1e-12
             for k, g in enumerate((g1, g2, g3)):
                 assert (trie.find(g) == np.arange(len(g))).all()
                 assert np.abs(trie.logp(k, np.arange(len(g))) - logp[k]).max() <= 0.5 / trie.STEP + 1e-12
                 q, at = rng.integers(0, top, (200, k + 1)), {tuple(r): i for i, r in enumerate(g.tolist())}
                 assert trie.find(q).tolist() == [at.get(tuple(r), -1) for r in q.tolist()]
+
+
+def test_shard_answers_from_its_trie():
+    """Every bigram of a shard, seen or not, is scored by the trie alone: its levels have all that the formula needs."""
+    rng = np.random.default_rng(4)
+    p, size = LmParams(), 1000.0
+    counts = rng.integers(1, 50, 40)
+    first, second = rng.integers(0, 40, 300).astype(np.uint64), rng.integers(0, 40, 300).astype(np.uint64)
+    pairs = np.unique(np.stack([first, second], 1), axis=0)
+    first, second = pairs[:, 0], pairs[:, 1]
+    seen = rng.integers(0, 3, len(pairs)).astype(np.uint32)
+    trie = build_shard(iter([(first, second, seen, counts[first.astype(int)], counts[second.astype(int)])]), size, p)
+    at = trie.find(pairs)
+    assert ((at >= 0) == (seen > 0)).all()
+    for i, (a, b) in enumerate(pairs.astype(int).tolist()):
+        n, m = counts[a], p.kappa * counts[a] ** p.beta
+        want = math.log10((seen[i] + m * (counts[b] + 1) / size) / (n + m))
+        one = lambda x: trie.find(np.array([[x]], np.uint64))
+        got = trie.logp(1, at[i : i + 1]) if at[i] >= 0 else trie.back(0, one(a)) + trie.logp(0, one(b))
+        assert abs(got[0] - want) < 2e-4
