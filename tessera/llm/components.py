@@ -31,7 +31,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         least = both.groupBy("u").agg(F.min("v").alias("m0")).select("u", F.least("u", "m0").alias("m")).repartition("u")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small star: u and its smaller neighbours point at the least of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = large.groupBy("u").agg(F.min("v").alias("m")).repartition("u")
         small = large.join(low, "u").select(F.explode(F.array("u", "v")).alias("x"), "m").where("x <> m").select(F.col("x").alias("u"), F.col("m").alias("v")).distinct()
         e, before = cut(small), now
         now = _fingerprint(e)
