@@ -13,7 +13,12 @@ NEAR = minhash.MinHashParams(shingle=5)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without letters and texts whose best language has under half of the posterior."""
+    """Rejects texts without letters and texts whose best language has under half of the posterior.
+
+    Null and empty texts go; rows are judged one by one, repeated ones too. Ties go to the first language. Where there is
+    nothing to learn from, all rows go. Here and in the next stages texts are read whole, other columns than those of
+    documents are dropped, and an empty table stays empty.
+    """
     params = langid.LangParams()
     model = langid.train(docs.where(crc_mod(F.col("doc_id"), 5) != 0), params)
     return langid.predict(docs, model, *COLUMNS).where((F.col("lang_pred") != "und") & (F.col("score") >= params.min_score)).select(*COLUMNS)
@@ -58,11 +63,12 @@ def _near_dedup_repeated(docs: DataFrame, again: DataFrame) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with any benchmark window go."""
+    """Documents with any benchmark window go. Null and empty texts stay, and an empty benchmark takes nothing."""
     return decontam.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece of a document; null and empty texts are one token, and rows of one id are packed each."""
     return packing.pack(docs)
 
 
