@@ -12,9 +12,15 @@ def shingles(text):
     return frozenset(zip(w, w[1:], strict=False)) if len(w) > 1 else frozenset([tuple(w)] if w else [])
 
 
-def brute(rows):
-    """Component of each id by all pairs."""
-    sets = {i: shingles(t) for i, t, *_ in rows if i is not None}
+def five_words(text):
+    """What stages of the pipeline take; ``shingles`` is op1's."""
+    w = (text or "").encode().lower().split()
+    return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+
+def brute(rows, of=None):
+    """Component of each id by all pairs of the sets that ``of`` (``shingles``) makes of texts."""
+    sets = {i: (of or shingles)(t) for i, t, *_ in rows if i is not None}
     part = {i: i for i in sets}
 
     def find(i):

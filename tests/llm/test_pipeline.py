@@ -9,10 +9,10 @@ import pytest
 from test_bytes import brute as covered_bytes
 from test_bytes import check_packing
 from test_minhash import brute as components
-from test_minhash import got
-from test_models import crc, near, reference
+from test_minhash import five_words, got
+from test_models import naive_bayes, near, reference, same_languages
 
-from tessera.llm import langid, packing, queries
+from tessera.llm import packing, queries
 from tessera.llm.lm import LmParams
 
 DATA = os.environ.get("TESSERA_TEST_DATA", "/root/testdata/sf0.001")
@@ -45,10 +45,8 @@ def test_stages(spark, tmp_path):
         if name != "pack":
             assert docs.columns == columns
         if name == "language_id":
-            table = spark.createDataFrame(before, "doc_id long, text string, lang string, source string, n_chars long")
-            model = langid.train(table.where(f"doc_id in ({','.join(str(r[0]) for r in before if crc(r[0]) % 5)})"))
-            kept = [r for r in before if (x := langid.score_texts([r[1]], model))[0][0] != "und" and x[1][0] >= 0.5]
-            assert sorted(after) == sorted(kept)
+            found = naive_bayes(before)
+            assert sorted(after) == sorted(r for r in before if found[r[0]][1] != "und" and found[r[0]][2] >= 0.5)
         elif name == "line_dedup":
             pages, total = {}, {}
             for _, text, _, host, _ in before:
@@ -63,7 +61,7 @@ def test_stages(spark, tmp_path):
                 want.append((i, new, lang, host, len(new) if len(left) < len(lines) else n))
             assert sorted(after) == sorted(want)
         elif name == "near_dedup":
-            found = components(before)
+            found = components(before, five_words)
             assert sorted(after) == sorted(r for r in before if found[r[0]][2])
         elif name == "decontaminate":
 
@@ -100,6 +98,7 @@ def test_op9(spark, rows):
     assert out.keys() == {i for i, *_ in rows}
     held = [(out[i].lang_pred, lang) for i, _, lang, _ in rows if out[i].held_out]
     assert sum(a == b for a, b in held) >= 0.95 * len(held)
+    same_languages({i: (r.held_out, r.lang_pred, r.score) for i, r in out.items()}, naive_bayes(rows))
 
 
 def test_op10(spark, rows):

@@ -5,22 +5,17 @@ import random
 import corpus_pipeline
 import test_minhash
 from helpers import make, words
+from test_minhash import five_words
 from test_pipeline import DATA
 
 
-def five_words(text):
-    w = (text or "").encode().lower().split()
-    return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
-
-
-def check_near_dedup(spark, docs, monkeypatch):
+def check_near_dedup(spark, docs):
     rows = [tuple(r) for r in docs.select(*corpus_pipeline.COLUMNS).collect()]
-    monkeypatch.setattr(test_minhash, "shingles", five_words)
-    found = test_minhash.brute(rows)
+    found = test_minhash.brute(rows, five_words)
     assert sorted(tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, DATA).collect()) == sorted(r for r in rows if found[r[0]][2])
 
 
-def test_near_dedup_takes_five_words(spark, monkeypatch):
+def test_near_dedup_takes_five_words(spark):
     """Scattered edits of a twentieth of the words leave a copy over 0.8 of two words and under 0.8 of five; one edit does not."""
     rng = random.Random(11)
     base = words(rng, 200, 5000)
@@ -30,12 +25,12 @@ def test_near_dedup_takes_five_words(spark, monkeypatch):
     both = lambda f: len(f(rows[0][1]) & f(rows[1][1])) / len(f(rows[0][1]) | f(rows[1][1]))
     assert both(test_minhash.shingles) >= 0.8 > both(five_words)
     docs = make(spark, rows, extra=False)
-    check_near_dedup(spark, docs, monkeypatch)
+    check_near_dedup(spark, docs)
     assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, DATA).collect()} == {0, 1}
 
 
-def test_near_dedup_against_all_pairs(spark, monkeypatch):
-    check_near_dedup(spark, spark.read.parquet(f"{DATA}/documents.parquet"), monkeypatch)
+def test_near_dedup_against_all_pairs(spark):
+    check_near_dedup(spark, spark.read.parquet(f"{DATA}/documents.parquet"))
 
 
 def test_near_dedup_tells_texts_of_one_id_apart(spark):
