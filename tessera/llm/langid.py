@@ -15,7 +15,8 @@ from .common import blocks, crc_mod
 @dataclass(frozen=True)
 class LangParams:
     """``per_lang`` bounds the expected number of training documents of each language: a language with more is thinned
-    by a hash of doc_id. The model is a matrix of 2 ** ``bits`` + 1 rows and one column a language, at most ``max_langs``."""
+    by a hash of doc_id. The model is a matrix of 2 ** ``bits`` + 1 rows and one column a language, at most ``max_langs``.
+    ``max_excess`` is for callers that reject: nats an n-gram by which a text may be less likely than its language is."""
 
     orders: tuple[int, ...] = (1, 2, 3)
     bits: int = 17
@@ -23,6 +24,7 @@ class LangParams:
     max_langs: int = 200
     alpha: float = 0.1
     min_score: float = 0.5
+    max_excess: float = 3.0
     block_chars: int = 1 << 18
 
 
@@ -30,6 +32,7 @@ class LangParams:
 class LangModel:
     langs: list[str]
     logp: np.ndarray  #: (2 ** bits + 1, languages) float32; the last row is zero, for windows that leave a text
+    usual: np.ndarray  #: (languages,) mean log probability of an n-gram under the language's own distribution
     params: LangParams
 
 
@@ -66,23 +69,30 @@ def ngram_rows(texts: list[str], params: LangParams) -> tuple[np.ndarray, np.nda
     return out, starts, np.add.reduceat(letter, starts[:-1], dtype=np.int64)
 
 
-def score_texts(texts: list[str | None], model: LangModel) -> tuple[list[str], np.ndarray]:
-    """Predicted language and posterior probability of each text; ``und`` and 0 for null and for texts without letters."""
+def score_texts(texts: list[str | None], model: LangModel) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Predicted language, posterior probability and excess of each text; ``und``, 0 and 0 for null and for texts without letters.
+
+    The posterior nears 1 with a text's length whatever its language. The excess does not grow with it: it is the mean
+    log probability of the language's n-grams minus that of the text's, about 0 for a text of the language and several
+    nats for one of a language that was never seen. A model that has seen little expects less of a text.
+    """
     given = [i for i, t in enumerate(texts) if t]
-    langs, scores = ["und"] * len(texts), np.zeros(len(texts))
+    langs, scores, excess = ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
     if not model.langs:
-        return langs, scores
+        return langs, scores, excess
     for part in blocks(given, lambda i: len(texts[i]), model.params.block_chars):
         rows, starts, letters = ngram_rows([texts[i] for i in part], model.params)
-        total = np.zeros((len(part), len(model.langs)))
+        total, grams = np.zeros((len(part), len(model.langs))), np.zeros(len(part))
         for row in rows:
             total += np.add.reduceat(model.logp[row], starts[:-1], axis=0, dtype=np.float64)
+            grams += np.add.reduceat(row != 1 << model.params.bits, starts[:-1], dtype=np.int64)
         best = total.argmax(1)
         post = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
         for k, i in enumerate(part):
             if letters[k]:
                 langs[i], scores[i] = model.langs[best[k]], post[k]
-    return langs, scores
+                excess[i] = model.usual[best[k]] - total[k, best[k]] / grams[k]
+    return langs, scores, excess
 
 
 def train(docs: DataFrame, params: LangParams = LangParams()) -> LangModel:
@@ -98,7 +108,7 @@ def train(docs: DataFrame, params: LangParams = LangParams()) -> LangModel:
         raise ValueError(f"more than {params.max_langs} languages")
     langs = sorted(sizes)
     if not langs:
-        return LangModel([], np.zeros(((1 << params.bits) + 1, 0), np.float32), params)
+        return LangModel([], np.zeros(((1 << params.bits) + 1, 0), np.float32), np.zeros(0), params)
     share = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(min(1.0, params.per_lang / sizes[k])))])
     sample = docs.where(F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
 
@@ -125,25 +135,27 @@ def train(docs: DataFrame, params: LangParams = LangParams()) -> LangModel:
     table = totals.toArrow()
     counts[table["j"].to_numpy(), table["i"].to_numpy()] = table["n"].to_numpy()
     logp = np.log((counts + params.alpha) / (counts.sum(0) + params.alpha * len(counts)))
+    usual = (np.exp(logp) * logp).sum(0)
     logp[-1] = 0
-    return LangModel(langs, logp.astype(np.float32), params)
+    return LangModel(langs, logp.astype(np.float32), usual, params)
 
 
 def predict(docs: DataFrame, model: LangModel, *carry: str | Column) -> DataFrame:
-    """``carry`` columns, ``lang_pred`` and ``score`` for every row of ``docs``; only ``text`` is looked at.
+    """``carry`` columns, ``lang_pred``, ``score`` and ``excess`` for every row of ``docs``; only ``text`` is looked at.
 
     The matrix is broadcast: 2 ** bits rows of 4 bytes a language, 2 MB for four languages at the default.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.select(*carry, F.col("text").cast("string").alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "__text") + ", lang_pred string, score double"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "__text") + ", lang_pred string, score double, excess double"
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            langs, scores = score_texts(batch.column(batch.num_columns - 1).to_pylist(), held.value)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores)], [*batch.schema.names[:-1], "lang_pred", "score"])
+            langs, scores, excess = score_texts(batch.column(batch.num_columns - 1).to_pylist(), held.value)
+            answers = [pa.array(langs, pa.string()), pa.array(scores), pa.array(excess)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *answers], [*batch.schema.names[:-1], "lang_pred", "score", "excess"])
 
     return kept.mapInArrow(run, schema)
 
@@ -152,9 +164,9 @@ def identify(docs: DataFrame, params: LangParams = LangParams(), folds: int = 5)
     """``doc_id, held_out, lang_pred, score`` for every row of ``docs(doc_id, text, lang, ...)``.
 
     Learns from rows whose crc32(doc_id) is not 0 modulo ``folds``; a null doc_id is neither held out nor learnt from.
-    Null, empty and letterless texts are ``und`` with score 0. Ties go to the first language in order. Repeated rows
-    are answered each. With no row to learn from every answer is ``und``.
+    Null, empty and letterless texts are ``und`` with score 0; long ones are read whole, in one piece. Ties go to the first language in order. Repeated rows
+    are answered each. Other columns are not looked at, whatever their names. With no row to learn from every answer is ``und``.
     """
     fold = crc_mod(F.col("doc_id"), folds)
     model = train(docs.where(fold != 0), params)
-    return predict(docs, model, "doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"))
+    return predict(docs, model, "doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out")).drop("excess")

@@ -8,9 +8,11 @@ import zlib
 
 import numpy as np
 from helpers import make
+from pyspark.sql import functions as F
 
+from tessera.llm.common import crc_mod
 from tessera.llm.eliasfano import EliasFano, NgramTrie
-from tessera.llm.langid import LangParams, identify
+from tessera.llm.langid import LangParams, identify, predict, train
 from tessera.llm.lm import LmParams, build_shard, pack, score, unpack
 
 
@@ -32,7 +34,7 @@ def spoken(n, seed=1):
 
 
 def naive_bayes(rows, p=LangParams()):
-    """``doc_id: (held_out, lang_pred, score)`` one n-gram at a time; for tables that ``per_lang`` does not thin."""
+    """``doc_id: (held_out, lang_pred, score, excess)`` one n-gram at a time; for tables that ``per_lang`` does not thin."""
 
     def grams(text):
         cp = [ord(c) if c.isalpha() else 32 for c in f" {text.lower()}{' ' * (max(p.orders) - 1)}"]
@@ -50,21 +52,26 @@ def naive_bayes(rows, p=LangParams()):
             counts.setdefault(lang, collections.Counter()).update(grams(text) if text else ())
     slots = (1 << p.bits) + 1
     sums = {k: c.total() + p.alpha * slots for k, c in counts.items()}
+    own = {}
+    for k, c in counts.items():
+        p_k = [(n + p.alpha) / sums[k] for n in c.values()] + [p.alpha / sums[k]] * (slots - len(c))
+        own[k] = sum(x * math.log(x) for x in p_k)
     out = {}
     for i, text, *_ in rows:
-        found = ("und", 0.0)
+        found = ("und", 0.0, 0.0)
         if any(c.isalpha() for c in (text or "").lower()):
             seen = collections.Counter(grams(text))
             total = {k: sum(n * math.log((counts[k][g] + p.alpha) / sums[k]) for g, n in seen.items()) for k in sorted(counts)}
             best = max(total, key=total.get)
-            found = (best, 1 / sum(math.exp(max(x - total[best], -700)) for x in total.values()))
+            post = 1 / sum(math.exp(max(x - total[best], -700)) for x in total.values())
+            found = (best, post, own[best] - total[best] / seen.total())
         out[i] = (crc(i) % 5 == 0, *found)
     return out
 
 
 def same_languages(got, want):
     assert {i: x[:2] for i, x in got.items()} == {i: x[:2] for i, x in want.items()}
-    assert all(abs(x[2] - want[i][2]) < 1e-3 for i, x in got.items())
+    assert all(abs(x[k] - want[i][k]) < 1e-3 for i, x in got.items() for k in range(2, len(x)))
 
 
 def test_scores_are_those_of_naive_bayes(spark):
@@ -72,6 +79,15 @@ def test_scores_are_those_of_naive_bayes(spark):
     same_languages({r.doc_id: (r.held_out, r.lang_pred, r.score) for r in identify(make(spark, rows)).collect()}, naive_bayes(rows))
 
 
+def test_excess_is_that_of_naive_bayes(spark):
+    rows = [*spoken(150), (1000, "кот спит", None, "s"), (1001, "t", None, "s"), (1002, "12 34", "en", "s"), (1003, "", "de", "s"), (1004, None, "de", "s")]
+    docs, want = make(spark, rows), naive_bayes(rows)
+    model = train(docs.where(crc_mod(F.col("doc_id"), 5) != 0))
+    got = {r.doc_id: (want[r.doc_id][0], r.lang_pred, r.score, r.excess) for r in predict(docs, model, "doc_id").collect()}
+    same_languages(got, want)
+    assert got[1000][3] > 2 + max(got[i][3] for i in range(150)) and got[1004][3] == 0
+
+
 def test_held_out_accuracy(spark):
     rows = spoken(300)
     out = {r.doc_id: r for r in identify(make(spark, rows)).collect()}
