@@ -13,7 +13,8 @@ NEAR = minhash.MinHashParams(shingle=5)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without letters and texts whose best language has under half of the posterior.
+    """Rejects texts without letters, texts whose best language has under half of the posterior, and texts in none of the
+    languages: those over ``max_excess`` nats an n-gram less likely than their best language's own n-grams.
 
     Null and empty texts go; rows are judged one by one, repeated ones too. Ties go to the first language. Where there is
     nothing to learn from, all rows go. Here and in the next stages texts are read whole, other columns than those of
@@ -21,7 +22,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     params = langid.LangParams()
     model = langid.train(docs.where(crc_mod(F.col("doc_id"), 5) != 0), params)
-    return langid.predict(docs, model, *COLUMNS).where((F.col("lang_pred") != "und") & (F.col("score") >= params.min_score)).select(*COLUMNS)
+    known = (F.col("lang_pred") != "und") & (F.col("score") >= params.min_score) & (F.col("excess") <= params.max_excess)
+    return langid.predict(docs, model, *COLUMNS).where(known).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
