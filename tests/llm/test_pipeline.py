@@ -46,7 +46,7 @@ def test_stages(spark, tmp_path):
             assert docs.columns == columns
         if name == "language_id":
             found = naive_bayes(before)
-            assert sorted(after) == sorted(r for r in before if found[r[0]][1] != "und" and found[r[0]][2] >= 0.5)
+            assert sorted(after) == sorted(r for r in before if found[r[0]][1] != "und" and found[r[0]][2] >= 0.5 and found[r[0]][3] <= 3)
         elif name == "line_dedup":
             pages, total = {}, {}
             for _, text, _, host, _ in before:

@@ -6,6 +6,7 @@ import corpus_pipeline
 import test_minhash
 from helpers import make, words
 from test_minhash import five_words
+from test_models import naive_bayes, spoken
 from test_pipeline import DATA
 
 
@@ -44,3 +45,17 @@ def test_near_dedup_tells_texts_of_one_id_apart(spark):
         nine = [x for x in out if x[0] == 9]
         assert len(nine) == 1 and nine[0][1].startswith(f)
         assert sorted((x for x in out if x[0] != 9), key=repr) == sorted([(2, e, "en"), (3, b, "en"), (5, a, "en"), (7, c, "de"), (8, d, "en"), (None, a, "en")], key=repr)
+
+
+def test_language_stage_rejects_what_is_in_no_language(spark):
+    """Other scripts, other languages and noise go, short or long, though long ones have posteriors near 1; the rest stays."""
+    rng = random.Random(13)
+    strange = ["Кошка спит на столе ", "Kissa nukkuu pöydällä kun sade putoaa kadulle ", "猫は台所で寝ている "]
+    odd = [(1000 + i, t * n, None, "s") for i, (t, n) in enumerate((t, n) for t in strange for n in (1, 50))]
+    odd += [(2000 + n, " ".join("".join(rng.choices("bcdfghjklmnpqrstvwxz", k=5)) for _ in range(n)), None, "s") for n in (5, 500)]
+    known = [*spoken(300), (3000, "theing ander " * 3000, None, "s")]
+    rows = [*known, *odd]
+    found = naive_bayes(rows)
+    assert all(found[i][2] > 0.9 for i, t, *_ in odd if len(t) > 900)
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, make(spark, rows, extra=False), DATA).collect()}
+    assert kept == {i for i, *_ in known}
