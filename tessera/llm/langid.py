@@ -16,7 +16,8 @@ from .common import blocks, crc_mod
 class LangParams:
     """``per_lang`` bounds the expected number of training documents of each language: a language with more is thinned
     by a hash of doc_id. The model is a matrix of 2 ** ``bits`` + 1 rows and one column a language, at most ``max_langs``.
-    ``max_excess`` is for callers that reject: nats an n-gram by which a text may be less likely than its language is."""
+    ``max_excess`` is for callers that reject: nats an n-gram by which a text may be less likely than its language is, where
+    ``prior_grams`` more n-grams count as usual ones: a name or a code in a text of a few words tells little."""
 
     orders: tuple[int, ...] = (1, 2, 3)
     bits: int = 17
@@ -25,6 +26,7 @@ class LangParams:
     alpha: float = 0.1
     min_score: float = 0.5
     max_excess: float = 3.0
+    prior_grams: int = 60
     block_chars: int = 1 << 18
 
 
@@ -74,7 +76,8 @@ def score_texts(texts: list[str | None], model: LangModel) -> tuple[list[str], n
 
     The posterior nears 1 with a text's length whatever its language. The excess does not grow with it: it is the mean
     log probability of the language's n-grams minus that of the text's, about 0 for a text of the language and several
-    nats for one of a language that was never seen. A model that has seen little expects less of a text.
+    nats for one of a language that was never seen. Very short texts are drawn to 0 by ``prior_grams``. A model that has
+    seen little expects less of a text.
     """
     given = [i for i, t in enumerate(texts) if t]
     langs, scores, excess = ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
@@ -91,7 +94,7 @@ def score_texts(texts: list[str | None], model: LangModel) -> tuple[list[str], n
         for k, i in enumerate(part):
             if letters[k]:
                 langs[i], scores[i] = model.langs[best[k]], post[k]
-                excess[i] = model.usual[best[k]] - total[k, best[k]] / grams[k]
+                excess[i] = (grams[k] * model.usual[best[k]] - total[k, best[k]]) / (grams[k] + model.params.prior_grams)
     return langs, scores, excess
 
 

@@ -64,7 +64,7 @@ def naive_bayes(rows, p=LangParams()):
             total = {k: sum(n * math.log((counts[k][g] + p.alpha) / sums[k]) for g, n in seen.items()) for k in sorted(counts)}
             best = max(total, key=total.get)
             post = 1 / sum(math.exp(max(x - total[best], -700)) for x in total.values())
-            found = (best, post, own[best] - total[best] / seen.total())
+            found = (best, post, (seen.total() * own[best] - total[best]) / (seen.total() + p.prior_grams))
         out[i] = (crc(i) % 5 == 0, *found)
     return out
 
@@ -80,7 +80,7 @@ def test_scores_are_those_of_naive_bayes(spark):
 
 
 def test_excess_is_that_of_naive_bayes(spark):
-    rows = [*spoken(150), (1000, "кот спит", None, "s"), (1001, "t", None, "s"), (1002, "12 34", "en", "s"), (1003, "", "de", "s"), (1004, None, "de", "s")]
+    rows = [*spoken(150), (1000, "кот спит на столе " * 9, None, "s"), (1001, "t", None, "s"), (1002, "12 34", "en", "s"), (1003, "", "de", "s"), (1004, None, "de", "s")]
     docs, want = make(spark, rows), naive_bayes(rows)
     model = train(docs.where(crc_mod(F.col("doc_id"), 5) != 0))
     got = {r.doc_id: (want[r.doc_id][0], r.lang_pred, r.score, r.excess) for r in predict(docs, model, "doc_id").collect()}
