@@ -14,7 +14,7 @@ NEAR = minhash.MinHashParams(shingle=5)
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without letters, texts whose best language has under half of the posterior, and texts in none of the
-    languages: those over ``max_excess`` nats an n-gram less likely than their best language's own n-grams.
+    languages: those over ``max_excess`` nats an n-gram less likely than their best language's own n-grams (see ``LangParams``).
 
     Null and empty texts go; rows are judged one by one, repeated ones too. Ties go to the first language. Where there is
     nothing to learn from, all rows go. Here and in the next stages texts are read whole, other columns than those of
